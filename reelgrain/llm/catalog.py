@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelgrain.llm.event_runs import event_runs
 from reelgrain.llm.frequency import marked_terms, term_frequencies
-from reelgrain.llm.percentiles import combined_days, daily_sketches, source_percentiles
+from reelgrain.llm.percentiles import all_percentiles
 from reelgrain.llm.residue import residue, without_residue
 from reelgrain.sources.tables import table
 
@@ -51,16 +51,11 @@ def p3_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p6_percentiles(spark: SparkSession, root: str) -> DataFrame:
-    return source_percentiles(table(spark, root, "frames"), table(spark, root, "rigs"))
-
-
-def p6_days_combined(spark: SparkSession, root: str) -> DataFrame:
-    """The same per source, put together from the sketches of single days."""
-    return combined_days(daily_sketches(table(spark, root, "frames"), table(spark, root, "episodes")))
+    return all_percentiles(table(spark, root, "frames"), table(spark, root, "episodes"), table(spark, root, "rigs"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p6_days_combined)
+    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles)
     return {f.__name__: f for f in found}
 
 

@@ -61,68 +61,84 @@ class TailSketch:
             level += 1
 
 
-def pack(n: int, low: tuple[list[np.ndarray], list[int]], high: tuple[list[np.ndarray], list[int]]) -> bytes:
-    """One channel's two sketches: readings, then for each tail the levels with their turns."""
-    parts = [struct.pack("<q", n)]
-    for levels, turns in (low, high):
-        parts.append(struct.pack(f"<i{2 * len(levels)}q", len(levels), *(x for v, t in zip(levels, turns) for x in (len(v), t))))
-        parts += [np.ascontiguousarray(v, np.float32).tobytes() for v in levels]
+def pack(n: np.ndarray, tails: Sequence[TailSketch]) -> bytes:
+    """The sketches of all channels of a field: their readings, then both tails' levels with their turns."""
+    parts = [struct.pack("<i", len(n)), n.astype("<i8").tobytes()]
+    for tail in tails:
+        parts.append(struct.pack(f"<i{2 * len(tail.levels)}q", len(tail.levels), *(x for v, t in zip(tail.levels, tail.turns) for x in (len(v), t))))
+        parts += [np.ascontiguousarray(v, np.float32).tobytes() for v in tail.levels]
     return b"".join(parts)
 
 
-def unpack(data: bytes) -> tuple[int, list[tuple[list[np.ndarray], list[int]]]]:
-    n, at, tails = struct.unpack_from("<q", data)[0], 8, []
-    for _ in range(2):
+def unpack(data: bytes) -> tuple[np.ndarray, list[TailSketch]]:
+    (width,) = struct.unpack_from("<i", data)
+    n, at, tails = np.frombuffer(data, np.int64, width, 4), 4 + 8 * width, []
+    for side in range(2):
+        tail = TailSketch(width, side + 1)
         (count,) = struct.unpack_from("<i", data, at)
         header = struct.unpack_from(f"<{2 * count}q", data, at + 4)
         at += 4 + 16 * count
-        levels = []
+        tail.levels, tail.turns = [], list(header[1::2])
         for size in header[::2]:
-            levels.append(np.frombuffer(data, np.float32, size, at))
-            at += 4 * size
-        tails.append((levels, list(header[1::2])))
+            tail.levels.append(np.frombuffer(data, np.float32, size * width, at).reshape(size, width))
+            at += 4 * size * width
+        tails.append(tail)
     return n, tails
 
 
+def _widen(n: np.ndarray, tails: Sequence[TailSketch], width: int) -> np.ndarray:
+    """Room for further channels, which have no readings yet."""
+    more = width - len(n)
+    if more:
+        for tail in tails:
+            tail.levels = [np.pad(v, ((0, 0), (0, more)), constant_values=np.nan) for v in tail.levels]
+    return np.pad(n, (0, more))
+
+
 def merge(sketches: Sequence[bytes]) -> bytes:
-    """The sketch of all readings of one channel."""
-    opened = [unpack(s) for s in sketches]
-    if len(opened) == 1:
+    """The sketch of all readings."""
+    if len(sketches) == 1:
         return sketches[0]
-    tails = []
+    opened = [unpack(s) for s in sketches]
+    width = max(len(n) for n, _ in opened)
+    readings = sum(_widen(n, tails, width) for n, tails in opened)
+    out = []
     for side in range(2):
-        out = TailSketch(1, seed=len(opened))
-        for level in range(max(len(t[side][0]) for _, t in opened)):
-            held = [t[side] for _, t in opened if len(t[side][0]) > level]
-            out.add(np.concatenate([levels[level] for levels, _ in held])[:, None], level)
-            out.turns[level] = int(np.bitwise_or.reduce([turns[level] for _, turns in held]))
-        out.compress()
-        tails.append(([v[:, 0] for v in out.levels], out.turns))
-    return pack(sum(n for n, _ in opened), *tails)
-
-
-def percentiles(sketch: bytes, wanted: Sequence[float] = PERCENTILES) -> list[float | None]:
-    """The smallest reading below or at which the share lies; from the tail that is nearer."""
+        total, held = TailSketch(width, len(opened)), [tails[side] for _, tails in opened]
+        for level in range(max(len(t.levels) for t in held)):
+            here = [t for t in held if len(t.levels) > level]
+            total.add(np.concatenate([t.levels[level] for t in here]), level)
+            total.turns[level] = int(np.bitwise_or.reduce([t.turns[level] for t in here]))
+        total.compress()
+        out.append(total)
+    return pack(readings, out)
+
+
+def percentiles(sketch: bytes, wanted: Sequence[float] = PERCENTILES) -> tuple[np.ndarray, np.ndarray]:
+    """Readings of each channel, and by channel the smallest reading at or below which each share lies.
+
+    Each share is looked up from the tail that is nearer; channels without readings give NaN.
+    """
     n, tails = unpack(sketch)
-    if not n:
-        return [None] * len(wanted)
-    sides = []
-    for levels, _ in tails:
-        values = np.concatenate(levels)
-        weights = np.concatenate([np.full(len(v), 1 << i, np.int64) for i, v in enumerate(levels)])
-        order = np.argsort(values, kind="stable")
-        sides.append((values[order], np.cumsum(weights[order])))
-    out: list[float | None] = []
-    for q in wanted:
-        rank = min(n, max(1, int(np.ceil(q * n - 1e-9))))
-        (values, below), sign = (sides[0], 1.0) if q <= 0.5 else (sides[1], -1.0)
-        at = int(np.searchsorted(below, rank if q <= 0.5 else n - rank + 1))
-        out.append(sign * float(values[min(at, len(values) - 1)]))
-    return out
+    out = np.full((len(n), len(wanted)), np.nan)
+    for side, tail in enumerate(tails):
+        values = np.concatenate(tail.levels)
+        if not len(values):
+            continue
+        weights = np.concatenate([np.full(len(v), 1 << i, np.int64) for i, v in enumerate(tail.levels)])
+        order = np.argsort(values, axis=0, kind="stable")
+        values, below = np.take_along_axis(values, order, axis=0), np.cumsum(weights[order], axis=0)
+        last = np.maximum((~np.isnan(values)).sum(axis=0) - 1, 0)
+        for k, q in enumerate(wanted):
+            if (q <= 0.5) == (side == 0):
+                rank = np.clip(np.ceil(q * n - 1e-9), 1, np.maximum(n, 1)).astype(np.int64)
+                at = np.minimum((below < (rank if side == 0 else n - rank + 1)).sum(axis=0), last)
+                out[:, k] = np.take_along_axis(values, at[None, :], axis=0)[0] * (1 if side == 0 else -1)
+    return n, out
 
 
 def _sketch_rows(by: Sequence[str]):
-    """Rows sorted by group and index -> one row per group, field and channel with its sketch."""
+    """Rows sorted by group and index -> one row per group and field with the sketches of its channels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: tuple | None = None
@@ -130,16 +146,14 @@ def _sketch_rows(by: Sequence[str]):
         sketches: dict[int, list] = {}
 
         def close() -> Iterator[pa.RecordBatch]:
-            for field, (n, low, high) in sketches.items():
-                parts = []
-                for tail in (low, high):
-                    tail.compress()
-                    parts.append([([v[:, d][~np.isnan(v[:, d])] for v in tail.levels], tail.turns) for d in range(len(n))])
-                data = [pack(int(n[d]), parts[0][d], parts[1][d]) for d in range(len(n))]
-                keys = [pa.array([k] * len(n), pa.string()) for k in group or ()]
-                columns = [*keys, pa.array([field] * len(n), pa.int32()), pa.array(range(len(n)), pa.int32()), pa.array(data, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*by, "field", "dim", "sketch"])
-            sketches.clear()
+            if sketches:
+                for n, *tails in sketches.values():
+                    for tail in tails:
+                        tail.compress()
+                keys = [pa.array([k] * len(sketches), pa.string()) for k in group or ()]
+                columns = [*keys, pa.array(list(sketches), pa.int32()), pa.array([pack(n, tails) for n, *tails in sketches.values()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*by, "field", "sketch"])
+                sketches.clear()
 
         for batch in batches:
             keys = [batch.column(b) for b in by]
@@ -171,10 +185,7 @@ def _sketch_rows(by: Sequence[str]):
                     if x.shape[1] < len(held[0]):
                         x = np.pad(x, ((0, 0), (0, len(held[0]) - x.shape[1])), constant_values=np.nan)
                     elif x.shape[1] > len(held[0]):
-                        more = x.shape[1] - len(held[0])
-                        held[0] = np.pad(held[0], (0, more))
-                        for tail in held[1:]:
-                            tail.levels = [np.pad(v, ((0, 0), (0, more)), constant_values=np.nan) for v in tail.levels]
+                        held[0] = _widen(held[0], held[1:], x.shape[1])
                     held[0] += (~np.isnan(x)).sum(axis=0)
                     for tail, sign in zip(held[1:], (1, -1)):
                         tail.add(x if sign > 0 else -x)
@@ -184,18 +195,25 @@ def _sketch_rows(by: Sequence[str]):
     return run
 
 
-def _merged(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Sketches of one channel and group become one; a group has at most one of each salt."""
-    kinds = ", ".join(f"{b} string" for b in by)
+def _kinds(by: Sequence[str]) -> str:
+    return "".join(f"{b} string, " for b in by)
+
+
+def _merged(sketches: DataFrame, by: Sequence[str], slices: int = 1) -> DataFrame:
+    """Sketches of one group and field become one, with ``slices`` first in so many parts of the group."""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.iloc[:1].assign(sketch=[merge(list(pdf["sketch"]))])
 
-    return sketches.select(*by, "field", "dim", "sketch").groupBy(*by, "field", "dim").applyInPandas(fold, f"{kinds}, field int, dim int, sketch binary")
+    rows = sketches
+    if slices > 1:
+        rows = rows.withColumn("_slice", F.pmod(F.xxhash64("sketch"), F.lit(slices)).cast("string"))
+        rows = rows.select(*by, "_slice", "field", "sketch").groupBy(*by, "_slice", "field").applyInPandas(fold, f"{_kinds(by)}_slice string, field int, sketch binary")
+    return rows.select(*by, "field", "sketch").groupBy(*by, "field").applyInPandas(fold, f"{_kinds(by)}field int, sketch binary")
 
 
 def channel_sketches(frames: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One sketch per group, field and channel: ``by``, ``field``, ``dim``, ``sketch``.
+    """One row per group and field: ``by``, ``field`` and ``sketch``, which holds all channels.
 
     ``by`` names string columns; null is a group of its own. Rows of one group are salted by their
     index, so a group may hold any share of all rows. Repeated rows (equal ``index``) count once, rows
@@ -207,34 +225,27 @@ def channel_sketches(frames: DataFrame, by: Sequence[str]) -> DataFrame:
     rows = frames.filter("index is not null").select(*by, "index", F.col("`observation.state`").alias("vector0"), F.col("action").alias("vector1"))
     salt = F.pmod(F.xxhash64("index"), F.lit(salts))
     ordered = rows.repartition(n, *by, salt).sortWithinPartitions(*by, "index")
-    kinds = ", ".join(f"{b} string" for b in by)
-    parts = ordered.mapInArrow(_sketch_rows(list(by)), f"{kinds}, field int, dim int, sketch binary")
+    parts = ordered.mapInArrow(_sketch_rows(list(by)), f"{_kinds(by)}field int, sketch binary")
     return _merged(parts, by)
 
 
-def _answers(sketches: DataFrame, scope: Column, name: Column) -> DataFrame:
-    """Percentiles as columns."""
-
-    @F.pandas_udf("struct<n bigint, p01 double, p25 double, p50 double, p75 double, p90 double, p99 double>")
-    def ask(column: pd.Series) -> pd.DataFrame:
-        rows = [[unpack(s)[0], *percentiles(s)] for s in column]
-        return pd.DataFrame(rows, columns=["n", "p01", "p25", "p50", "p75", "p90", "p99"])
-
-    field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1])
-    return sketches.withColumn("a", ask("sketch")).select(scope.alias("scope"), name.alias("name"), field.alias("field_name"), "dim", "a.*", F.lit(RANK_ERROR).alias("rank_error"))
+def answers(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Percentiles of merged sketches as columns, one row per group, field and channel.
 
+    ``rank_error`` is the stated bound, as a share of min(q, 1 - q) * n.
+    """
 
-def source_percentiles(frames: DataFrame, rigs: DataFrame) -> DataFrame:
-    """Percentiles of every channel per ``source`` and per ``robot_type``.
+    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, found = percentiles(pdf["sketch"].iloc[0])
+        out = pd.DataFrame({"dim": range(len(n)), "n": n} | {f"p{round(100 * q):02d}": [None if np.isnan(v) else v for v in found[:, k]] for k, q in enumerate(PERCENTILES)})
+        for b in reversed(by):
+            out.insert(0, b, pdf[b].iloc[0])
+        return out.assign(field=pdf["field"].iloc[0])[[*by, "field", *out.columns[len(by) :]]]
 
-    ``rank_error`` is the stated bound, as a share of min(q, 1 - q) * n. Sources that ``rigs`` doesn't
-    hold have a null robot type. Channels without finite readings have n = 0 and no percentiles.
-    """
-    by_source = materialize(channel_sketches(frames, ["source"]))
-    types = rigs.select("source", "robot_type").dropDuplicates(["source"])
-    typed = by_source.join(types, "source", "left")
-    by_type = _merged(typed, ["robot_type"])
-    return _answers(by_source, F.lit("source"), F.col("source")).unionByName(_answers(by_type, F.lit("robot_type"), F.col("robot_type")))
+    columns = "".join(f", p{round(100 * q):02d} double" for q in PERCENTILES)
+    rows = sketches.groupBy(*by, "field").applyInPandas(ask, f"{_kinds(by)}field int, dim int, n bigint{columns}")
+    field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1])
+    return rows.withColumn("field_name", field).drop("field").withColumn("rank_error", F.lit(RANK_ERROR))
 
 
 def with_day(frames: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -248,6 +259,20 @@ def daily_sketches(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     return channel_sketches(with_day(frames, episodes), ["source", "day"])
 
 
-def combined_days(daily: DataFrame) -> DataFrame:
-    """Percentiles per source from the sketches of all days."""
-    return _answers(_merged(daily, ["source"]), F.lit("source"), F.col("source"))
+def all_percentiles(frames: DataFrame, episodes: DataFrame, rigs: DataFrame) -> DataFrame:
+    """Percentiles of every channel per source and day, per source, and per robot type.
+
+    The frames are read once, for the sketches of single days; those of sources are merged from
+    them, and those of robot types from these. ``scope`` names the level, ``name`` the source or robot
+    type, ``day`` the day, null in the wider scopes and where the episode's day is not known. Sources
+    that ``rigs`` doesn't hold have a null robot type. Channels without finite readings have n = 0 and
+    no percentiles. An empty table gives an empty result.
+    """
+    daily = materialize(daily_sketches(frames, episodes))
+    by_source = materialize(_merged(daily, ["source"]))
+    types = rigs.filter("source is not null").groupBy("source").agg(F.min("robot_type").alias("robot_type"))
+    by_type = _merged(by_source.join(types, "source", "left"), ["robot_type"], slices=16)
+    day = answers(daily, ["source", "day"]).withColumnRenamed("source", "name").withColumn("scope", F.lit("source_day"))
+    source = answers(by_source, ["source"]).withColumnRenamed("source", "name").withColumn("scope", F.lit("source"))
+    kind = answers(by_type, ["robot_type"]).withColumnRenamed("robot_type", "name").withColumn("scope", F.lit("robot_type"))
+    return day.unionByName(source, allowMissingColumns=True).unionByName(kind, allowMissingColumns=True)
