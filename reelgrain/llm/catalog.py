@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reelgrain.llm.event_runs import event_runs
 from reelgrain.llm.frequency import marked_terms, term_frequencies
+from reelgrain.llm.leakage import leaked_items
 from reelgrain.llm.percentiles import all_percentiles
 from reelgrain.llm.residue import residue, without_residue
 from reelgrain.sources.tables import table
@@ -54,8 +55,18 @@ def p6_percentiles(spark: SparkSession, root: str) -> DataFrame:
     return all_percentiles(table(spark, root, "frames"), table(spark, root, "episodes"), table(spark, root, "rigs"))
 
 
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, root: str) -> DataFrame:
+    """By item, how many documents hold it, and how much of it at most."""
+    found = leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles)
+    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p8_found, p8_items)
     return {f.__name__: f for f in found}
 
 
