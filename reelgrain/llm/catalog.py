@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelgrain.llm.abuse import abuse_scores, source_rates
 from reelgrain.llm.event_runs import event_runs
 from reelgrain.llm.frequency import marked_terms, term_frequencies
 from reelgrain.llm.leakage import leaked_items
@@ -15,6 +16,8 @@ from reelgrain.llm.residue import residue, without_residue
 from reelgrain.sources.tables import table
 
 RESIDUE_FIELDS = ("grasp_type", "description")
+#: From this score on a document counts as abusive.
+ABUSIVE = 0.5
 TERM_FIELDS = ("grasp_type", "object_name", "affordance")
 
 
@@ -65,8 +68,23 @@ def p8_items(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
 
 
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    scores = abuse_scores(table(spark, root, "documents"), table(spark, root, "review_labels"))
+    return scores.filter(F.col("score") >= ABUSIVE).select("doc_id").distinct()
+
+
+def p9_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with the score of its worst passage."""
+    return abuse_scores(table(spark, root, "documents"), table(spark, root, "review_labels"))
+
+
+def p9_rates(spark: SparkSession, root: str) -> DataFrame:
+    """The share of abusive documents by source."""
+    return source_rates(abuse_scores(table(spark, root, "documents"), table(spark, root, "review_labels")), ABUSIVE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p8_found, p8_items)
+    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p8_found, p8_items, p9_found, p9_scores, p9_rates)
     return {f.__name__: f for f in found}
 
 
