@@ -11,6 +11,7 @@ from reelgrain.llm.abuse import abuse_scores, source_rates
 from reelgrain.llm.event_runs import event_runs
 from reelgrain.llm.frequency import marked_terms, term_frequencies
 from reelgrain.llm.leakage import leaked_items
+from reelgrain.llm.packing import fill_report, packed
 from reelgrain.llm.percentiles import all_percentiles
 from reelgrain.llm.residue import residue, without_residue
 from reelgrain.sources.tables import table
@@ -58,6 +59,15 @@ def p6_percentiles(spark: SparkSession, root: str) -> DataFrame:
     return all_percentiles(table(spark, root, "frames"), table(spark, root, "episodes"), table(spark, root, "rigs"))
 
 
+def p7_containers(spark: SparkSession, root: str) -> DataFrame:
+    return packed(table(spark, root, "documents"), table(spark, root, "pack_targets"))
+
+
+def p7_fill(spark: SparkSession, root: str) -> DataFrame:
+    """How many containers each target needs, beside the fewest possible."""
+    return fill_report(packed(table(spark, root, "documents"), table(spark, root, "pack_targets")))
+
+
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
     return leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
 
@@ -84,7 +94,7 @@ def p9_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p8_found, p8_items, p9_found, p9_scores, p9_rates)
+    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p7_containers, p7_fill, p8_found, p8_items, p9_found, p9_scores, p9_rates)
     return {f.__name__: f for f in found}
 
 
