@@ -62,18 +62,22 @@ class TailSketch:
 
 
 def pack(n: np.ndarray, tails: Sequence[TailSketch]) -> bytes:
-    """The sketches of all channels of a field: their readings, then both tails' levels with their turns."""
-    parts = [struct.pack("<i", len(n)), n.astype("<i8").tobytes()]
-    for tail in tails:
+    """The sketches of all channels of a field: their readings, then both tails' levels with their turns.
+
+    As long as nothing was compacted both tails hold the same readings, which are then kept once.
+    """
+    once = all(len(t.levels) == 1 for t in tails)
+    parts = [struct.pack("<ii", len(n), once), n.astype("<i8").tobytes()]
+    for tail in tails[:1] if once else tails:
         parts.append(struct.pack(f"<i{2 * len(tail.levels)}q", len(tail.levels), *(x for v, t in zip(tail.levels, tail.turns) for x in (len(v), t))))
         parts += [np.ascontiguousarray(v, np.float32).tobytes() for v in tail.levels]
     return b"".join(parts)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, list[TailSketch]]:
-    (width,) = struct.unpack_from("<i", data)
-    n, at, tails = np.frombuffer(data, np.int64, width, 4), 4 + 8 * width, []
-    for side in range(2):
+    width, once = struct.unpack_from("<ii", data)
+    n, at, tails = np.frombuffer(data, np.int64, width, 8), 8 + 8 * width, []
+    for side in range(1 if once else 2):
         tail = TailSketch(width, side + 1)
         (count,) = struct.unpack_from("<i", data, at)
         header = struct.unpack_from(f"<{2 * count}q", data, at + 4)
@@ -83,6 +87,9 @@ def unpack(data: bytes) -> tuple[np.ndarray, list[TailSketch]]:
             tail.levels.append(np.frombuffer(data, np.float32, size * width, at).reshape(size, width))
             at += 4 * size * width
         tails.append(tail)
+    if once:
+        tails.append(TailSketch(width, 2))
+        tails[1].levels = [-tails[0].levels[0]]
     return n, tails
 
 
@@ -199,21 +206,32 @@ def _kinds(by: Sequence[str]) -> str:
     return "".join(f"{b} string, " for b in by)
 
 
+_ANSWERS = "n array<bigint>, " + ", ".join(f"p{round(100 * q):02d} array<double>" for q in PERCENTILES)
+
+
 def _merged(sketches: DataFrame, by: Sequence[str], slices: int = 1) -> DataFrame:
-    """Sketches of one group and field become one, with ``slices`` first in so many parts of the group."""
+    """Sketches of one group and field become one, with ``slices`` first in so many parts of the group.
+
+    Beside the sketch stand its answers, so that none has to be moved again to be asked.
+    """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.iloc[:1].assign(sketch=[merge(list(pdf["sketch"]))])
 
+    def answered(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = fold(pdf)
+        n, found = percentiles(out["sketch"].iloc[0])
+        return out.assign(n=[n], **{f"p{round(100 * q):02d}": [found[:, k]] for k, q in enumerate(PERCENTILES)})
+
     rows = sketches
     if slices > 1:
         rows = rows.withColumn("_slice", F.pmod(F.xxhash64("sketch"), F.lit(slices)).cast("string"))
         rows = rows.select(*by, "_slice", "field", "sketch").groupBy(*by, "_slice", "field").applyInPandas(fold, f"{_kinds(by)}_slice string, field int, sketch binary")
-    return rows.select(*by, "field", "sketch").groupBy(*by, "field").applyInPandas(fold, f"{_kinds(by)}field int, sketch binary")
+    return rows.select(*by, "field", "sketch").groupBy(*by, "field").applyInPandas(answered, f"{_kinds(by)}field int, sketch binary, {_ANSWERS}")
 
 
 def channel_sketches(frames: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per group and field: ``by``, ``field`` and ``sketch``, which holds all channels.
+    """One row per group and field: ``by``, ``field``, ``sketch``, which holds all channels, and its answers.
 
     ``by`` names string columns; null is a group of its own. Rows of one group are salted by their
     index, so a group may hold any share of all rows. Repeated rows (equal ``index``) count once, rows
@@ -230,27 +248,26 @@ def channel_sketches(frames: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def answers(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Percentiles of merged sketches as columns, one row per group, field and channel.
+    """The percentiles beside merged sketches as columns, one row per group, field and channel.
 
     ``rank_error`` is the stated bound, as a share of min(q, 1 - q) * n.
     """
+    names = ["n", *(f"p{round(100 * q):02d}" for q in PERCENTILES)]
+    rows = sketches.select(*by, "field", F.posexplode(F.arrays_zip(*names)).alias("dim", "a"))
+    field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1]).alias("field_name")
+    known = [F.when(~F.isnan(f"a.{c}"), F.col(f"a.{c}")).alias(c) for c in names[1:]]
+    return rows.select(*by, field, "dim", "a.n", *known, F.lit(RANK_ERROR).alias("rank_error"))
 
-    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, found = percentiles(pdf["sketch"].iloc[0])
-        out = pd.DataFrame({"dim": range(len(n)), "n": n} | {f"p{round(100 * q):02d}": [None if np.isnan(v) else v for v in found[:, k]] for k, q in enumerate(PERCENTILES)})
-        for b in reversed(by):
-            out.insert(0, b, pdf[b].iloc[0])
-        return out.assign(field=pdf["field"].iloc[0])[[*by, "field", *out.columns[len(by) :]]]
 
-    columns = "".join(f", p{round(100 * q):02d} double" for q in PERCENTILES)
-    rows = sketches.groupBy(*by, "field").applyInPandas(ask, f"{_kinds(by)}field int, dim int, n bigint{columns}")
-    field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1])
-    return rows.withColumn("field_name", field).drop("field").withColumn("rank_error", F.lit(RANK_ERROR))
+#: So many episodes' days are sent to every task (about 20 MB); more are joined by a shuffle.
+MAX_DAYS_SENT = 500_000
 
 
 def with_day(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     """Frames with the ``day`` on which their episode was recorded, null where that is not known."""
     days = episodes.filter("episode_index is not null").groupBy("episode_index").agg(F.date_format(F.min("recorded_at"), "yyyy-MM-dd").alias("day"))
+    if episodes.select("episode_index").limit(MAX_DAYS_SENT + 1).count() <= MAX_DAYS_SENT:
+        days = F.broadcast(days)
     return frames.select("index", "episode_index", "source", "`observation.state`", "action").join(days, "episode_index", "left")
 
 
