@@ -31,7 +31,7 @@ SPACE, FACTORS = 1 << 16, 8
 #: Words of a passage, and terms that are kept of it.
 LONGEST, STRIDE, TERMS = 18, 9, 48
 #: Bounds of the labelled sample that the machine is fitted on, in documents and passages.
-MAX_HARMFUL, MAX_FINE, MAX_PASSAGES = 8_000, 8_000, 400_000
+MAX_HARMFUL, MAX_FINE, MAX_PASSAGES = 4_000, 6_000, 200_000
 
 # A small word list of four languages, by class.
 LEXICON = {
