@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelgrain.plans import dealt
+from reelgrain.plans import dealt, stats
 
-MODULES = (dealt,)
+MODULES = (stats, dealt)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
