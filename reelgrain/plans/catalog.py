@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelgrain.plans import dealt, stats
+from reelgrain.plans import dealt, sequences, stats
 
-MODULES = (stats, dealt)
+MODULES = (stats, sequences, dealt)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
