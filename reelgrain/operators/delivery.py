@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelgrain.session import scratch_path
 
@@ -29,6 +30,7 @@ class RunStore:
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: str, buckets: int = 16) -> None:
         self.spark, self.path, self.keys, self.order, self.buckets = spark, path, list(keys), order, buckets
+        self.schema: StructType | None = None
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -42,6 +44,7 @@ class RunStore:
         first = F.min(self.order).alias(self.order)
         rows = rows.dropna(subset=self.keys).withColumn("_run", (run if run is not None else F.lit(0)).cast("string"))
         folded = rows.groupBy("_run", *self.keys).agg(first).withColumn("_bucket", self._bucket())
+        self.schema = folded.schema
         (
             folded.repartition("_run", "_bucket")
             .sortWithinPartitions("_run", "_bucket", *self.keys, self.order)
@@ -53,7 +56,10 @@ class RunStore:
 
     def compact(self) -> DataFrame:
         """One row per identifier: that with the smallest order of all runs."""
-        runs = self.spark.read.parquet(self.path)
+        reader = self.spark.read
+        if self.schema is not None:  # a store of no rows has no file that tells its columns
+            reader = reader.schema(self.schema)
+        runs = reader.parquet(self.path)
         merged = runs.repartition("_bucket").sortWithinPartitions("_bucket", *self.keys, self.order)
         place = F.row_number().over(Window.partitionBy("_bucket", *self.keys).orderBy(self.order))
         return merged.withColumn("_place", place).filter("_place = 1").select(*self.keys, self.order)

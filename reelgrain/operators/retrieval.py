@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Entries of a knowledge base, which every query is held against.
+MAX_ENTRIES = 10_000
+
+
 def nearest(queries: DataFrame, data: DataFrame, keys: Sequence[str], at: str, time: str, value: str, tolerance: float) -> DataFrame:
     """For each query the data row of its key nearest in time, the earlier of two; ``late`` beyond the tolerance.
 
@@ -20,8 +24,9 @@ def nearest(queries: DataFrame, data: DataFrame, keys: Sequence[str], at: str, t
     d = data.select(*keys, F.col(time).cast("double").alias("_t"), F.lit(0).alias("_q"), F.lit(None).cast(q.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"))
     rows = q.unionByName(d.groupBy(*keys, "_t", "_q", "_row").agg(F.min("_v").alias("_v")))
     here = F.when(F.col("_q") == 0, F.struct("_t", "_v"))
-    w = Window.partitionBy(*keys).orderBy("_t", "_q")
-    rows = rows.withColumn("_a", F.last(here, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_b", F.first(here, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    # Both frames grow from the start, which Spark does in one pass; one that ends at the last row is read anew for each row.
+    up, down = (Window.partitionBy(*keys).orderBy(t, "_q").rowsBetween(Window.unboundedPreceding, 0) for t in (F.asc("_t"), F.desc("_t")))
+    rows = rows.withColumn("_a", F.last(here, ignorenulls=True).over(up)).withColumn("_b", F.last(here, ignorenulls=True).over(down))
     left, right = F.col("_t") - F.col("_a._t"), F.col("_b._t") - F.col("_t")
     best = F.when(F.col("_b").isNull() | (left <= right), F.col("_a")).otherwise(F.col("_b"))
     found = rows.filter("_q = 1").withColumn("_n", best).filter("_n is not null")
@@ -39,6 +44,8 @@ def tiered_top(queries: DataFrame, entries: DataFrame, tiers: Sequence[Column],
 
     ``entries`` is a small knowledge base that every task gets; ties keep its order.
     """
+    if entries.limit(MAX_ENTRIES + 1).count() > MAX_ENTRIES:
+        raise ValueError(f"a knowledge base of more than {MAX_ENTRIES} entries")
     tier = F.lit(len(tiers))
     for i in reversed(range(len(tiers))):
         tier = F.when(tiers[i], F.lit(i)).otherwise(tier)
