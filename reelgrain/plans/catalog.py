@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelgrain.plans import curation, dealt, sequences, stats
+from reelgrain.plans import curation, dealt, loading, sequences, stats
 
-MODULES = (stats, sequences, curation, dealt)
+MODULES = (stats, sequences, curation, loading, dealt)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
