@@ -68,3 +68,16 @@ def test_model_calls(spark):
 def test_times(spark):
     df = spark.createDataFrame([("a", 3, None), ("a", 1, 0.5), ("a", 2, None)], "k string, at int, t double")
     assert [(r["at"], r["frame_index"], r["timestamp"]) for r in T.frame_times(df, ["k"], ["at"], F.lit(10.0), "t").orderBy("at").collect()] == [(1, 0, 0.5), (2, 1, 0.1), (3, 2, 0.2)]
+
+
+def test_small_predicates(spark):
+    from reelgrain.operators.retrieval import contains_any
+    from reelgrain.operators.schema import concatenated
+    from reelgrain.sources.files import matches
+
+    assert value(spark, contains_any(F.lit("ball"), F.lit("small ball, cube"))) and not value(spark, contains_any(F.lit("ball"), F.lit("cube, ")))
+    assert value(spark, matches(F.lit("a/success/b"), ".*success.*")) and not value(spark, matches(F.lit("xa"), "a"))
+    assert value(spark, concatenated(F.array(F.lit(1.0)), F.array(F.lit(2.0)))) == [1.0, 2.0]
+    assert value(spark, P.block(F.lit("t"), ["a", "b"], [F.lit("1"), F.lit(None).cast("string")])) == "t\n- a: 1\n- b: none"
+    chosen = spark.range(60).select(P.one_of([F.lit("x"), F.lit("y")], "id").alias("c")).collect()
+    assert {r["c"] for r in chosen} == {"x", "y"} and chosen == spark.range(60).select(P.one_of([F.lit("x"), F.lit("y")], "id").alias("c")).collect()
