@@ -75,13 +75,19 @@ def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.
     good = present & ~out
     # Readings that can't be judged are replaced by the last good one of the episode, or the next.
     last = np.maximum.accumulate(np.where(good, at[:, None], -1), axis=0)
-    ends = np.append(np.flatnonzero(segment[1:] != segment[:-1]), n - 1)
-    end = ends[np.searchsorted(ends, at)]
+    stops = np.append(np.flatnonzero(segment[1:] != segment[:-1]), n - 1)
+    end = stops[np.searchsorted(stops, at)]
     following = np.minimum.accumulate(np.where(good, at[:, None], n)[::-1], axis=0)[::-1]
     take = np.where(last >= segment[:, None], last, np.where(following <= end[:, None], following, -1))
     filled = np.where(take >= 0, np.take_along_axis(x, np.maximum(take, 0), axis=0), np.float32(0))
     first = np.minimum(np.maximum(at - 3, segment), np.maximum(end - 6, segment))
     course = median_of_seven([filled[np.minimum(first + k, end)] for k in range(7)])
+    # At the ends of an episode the window lies to one side: there the course goes on by the usual step.
+    ends = np.flatnonzero((at - 3 < segment) | (at + 3 > end))
+    near = np.minimum(first[ends] + np.arange(7)[:, None], end[ends])
+    window = filled[near]
+    step = np.median(np.diff(window, axis=0), axis=0)
+    course[ends] = np.median(window - step * (near - ends)[:, :, None], axis=0)
     departure = np.where(good, np.abs(filled - course), np.float32(0))
 
     pair = np.zeros((n, width), bool)
@@ -228,7 +234,7 @@ def implausible_readings(
     rigs: DataFrame,
     *,
     min_run: int = 8,
-    spike_factor: float = 3.5,
+    spike_factor: float = 2.8,
     quantile: float = 0.999,
     held_share: float = 0.35,
 ) -> DataFrame:
@@ -239,7 +245,7 @@ def implausible_readings(
     ``held_share`` of the readings equal their predecessor on that rig), ``spike`` (departs from the
     rolling median of seven frames by more than ``spike_factor`` times the ``quantile`` of the
     channel's moves on that rig; the median follows a switch that stays and leaves excursions of up
-    to three frames).
+    to three frames; at an episode's ends it is carried on by the usual step).
 
     Repeated rows (equal ``index``) count once. Null vectors, null elements and positions beyond a
     vector's end hold no reading. Frames without ``episode_index`` or ``frame_index`` have no
