@@ -23,14 +23,23 @@ def idle_flags(df: DataFrame, keys: Sequence[str], order: str, vector: str, epsi
     return rows.withColumn("idle", still(F.col("_v"), F.lag("_v").over(w), epsilon)).filter("_own").select(*keys, order, "idle")
 
 
-def runs(df: DataFrame, keys: Sequence[str], order: str, flag: str) -> DataFrame:
-    """Runs of equal flags: ``keys``, ``flag``, ``start`` and ``end`` (exclusive).
+def runs(df: DataFrame, keys: Sequence[str], order: str, flag: str, block: int = 8192) -> DataFrame:
+    """Runs of equal flags over consecutive numbers: ``keys``, ``flag``, ``start`` and ``end`` (exclusive).
 
-    Gaps and islands: inside a run of consecutive numbers, number and place differ by a constant.
+    Gaps and islands: inside a run, number and place differ by a constant. Recordings are cut into
+    blocks; only runs that touch a block's edge meet again, to be joined.
     """
-    w = Window.partitionBy(*keys, flag).orderBy(order)
-    rows = df.withColumn("_island", F.col(order) - F.row_number().over(w))
-    return rows.groupBy(*keys, flag, "_island").agg(F.min(order).alias("start"), (F.max(order) + 1).alias("end")).drop("_island")
+    w = Window.partitionBy(*keys, "_block", flag).orderBy(order)
+    rows = df.withColumn("_block", F.floor(F.col(order) / block)).withColumn("_island", F.col(order) - F.row_number().over(w))
+    pieces = rows.groupBy(*keys, "_block", flag, "_island").agg(F.min(order).alias("start"), (F.max(order) + 1).alias("end"))
+    at_edge = (F.pmod("start", F.lit(block)) == 0) | (F.pmod("end", F.lit(block)) == 0)
+    along = Window.partitionBy(*keys).orderBy("start")
+    joined = (F.lag("end").over(along) == F.col("start")) & F.lag(flag).over(along).eqNullSafe(F.col(flag))
+    edges = pieces.filter(at_edge).withColumn("_new", F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1))
+    edges = edges.withColumn("_run", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = edges.groupBy(*keys, "_run", flag).agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    names = [*keys, flag, "start", "end"]
+    return pieces.filter(~at_edge).select(*names).unionByName(merged.select(*names))
 
 
 def keep_ranges(flags: DataFrame, keys: Sequence[str], order: str, *, least_idle: int = 7, least_kept: int = 16, trim: int = 10) -> DataFrame:

@@ -31,11 +31,13 @@ def interval_mean(df: DataFrame, by: Sequence[str], step: str, value: str, every
 def exponential_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, decay: float) -> DataFrame:
     """Exponential moving average at the end of each key; the first value starts it.
 
-    The values of a key are folded in order; keys with very many are first reduced by intervals.
+    The fold is a weighted sum: a value k places before the end weighs decay ** k, and all but the first
+    also 1 - decay. So it is aggregated in parts, and no key's values are held together.
     """
-    listed = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("_v")))).alias("_l"))
-    fold = F.aggregate(F.slice("_l", 2, F.greatest(F.size("_l") - 1, F.lit(0))), F.col("_l")[0]["_v"], lambda a, x: a * decay + x["_v"] * (1 - decay))
-    return listed.select(*by, fold.alias("ema"))
+    back = Window.partitionBy(*by).orderBy(*(F.desc(o) for o in order))
+    rows = df.withColumn("_k", (F.row_number().over(back) - 1).cast("double")).withColumn("_first", F.lead(F.lit(1)).over(back).isNull())
+    weight = F.pow(F.lit(decay), F.col("_k")) * F.when(F.col("_first"), F.lit(1.0)).otherwise(F.lit(1 - decay))
+    return rows.groupBy(*by).agg(F.sum(F.col(value) * weight).alias("ema"))
 
 
 def arrival_rate(df: DataFrame, by: Sequence[str], seconds: Column, last: int | None = None) -> DataFrame:

@@ -16,6 +16,19 @@ def sessions(df: DataFrame, keys: Sequence[str], second: str, gap: int = 1) -> D
     return rows.groupBy(*keys, "_s").agg(F.min(second).alias("start"), (F.max(second) + 1).alias("end"), F.count("*").alias("n")).drop("_s")
 
 
+def listed(df: DataFrame, keys: Sequence[str], seconds: str, *, pairs: bool = True) -> DataFrame:
+    """Segments of recordings that list their seconds in an array; those without any are left out.
+
+    With ``pairs`` a list of two is one segment from the first to the second (exclusive).
+    """
+    size = F.coalesce(F.size(seconds), F.lit(0))
+    pair = (size == 2) if pairs else F.lit(False)
+    first, second = F.get(seconds, F.lit(0)), F.get(seconds, F.lit(1))
+    given = df.filter(pair).select(*keys, first.alias("start"), second.alias("end"))
+    each = df.filter((size > 0) & ~pair).select(*keys, F.explode(seconds).alias("_second"))
+    return given.unionByName(sessions(each, keys, "_second").select(*keys, "start", "end"))
+
+
 def split_long(segments: DataFrame, longest: int) -> DataFrame:
     """Segments longer than ``longest`` in two halves, cut at the middle (rounded down)."""
     middle = F.floor((F.col("start") + F.col("end")) / 2).cast(segments.schema["start"].dataType)

@@ -104,7 +104,7 @@ def hand_entries(spark: SparkSession, root: str) -> DataFrame:
 
 
 def distinct_tasks(spark: SparkSession, root: str) -> DataFrame:
-    return _episodes(spark, root).groupBy("source").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("tasks")))).alias("tasks"))
+    return _episodes(spark, root).select("source", F.explode("tasks").alias("task")).groupBy("source").agg(F.array_sort(F.collect_set("task")).alias("tasks"))
 
 
 def nearest_timestamp(spark: SparkSession, root: str) -> DataFrame:

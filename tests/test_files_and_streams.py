@@ -132,3 +132,19 @@ def test_once(spark, stream, tmp_path):
     twice = live.union(live)
     got = run(spark, windows.once(windows.timed(twice, "ts", "30 days"), ["event_id"]), tmp_path, "append", "once")
     assert got.count() == got.select("event_id").distinct().count() > 0
+
+
+def test_requests_to_files_and_subscribers(spark, tmp_path):
+    from reelgrain.streaming import io
+
+    folder = tmp_path / "req"
+    folder.mkdir()
+    for i in range(5):
+        (folder / f"{i}.json").write_text(json.dumps({"robot": "a", "step": i}) + "\n")
+    live = io.requests(spark, str(folder), "robot string, step int", per_trigger=2)
+    for _ in range(2):  # a restart writes nothing twice
+        io.recorded(live, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
+    assert sorted(r["step"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2, 3, 4]
+    seen, batches = [], []
+    io.subscribed(live, [lambda d, n: seen.extend(r["step"] for r in d.collect()), lambda d, n: batches.append(n)], str(tmp_path / "c2")).awaitTermination()
+    assert sorted(seen) == [0, 1, 2, 3, 4] and batches == [0, 1, 2]

@@ -72,6 +72,16 @@ def test_keep_ranges(spark):
     assert inside == {t for a, b in want for t in range(a, b)}
 
 
+def test_runs_across_blocks(spark):
+    r = random.Random(9)
+    flags = [r.choice([True, False, None]) if r.random() < 0.2 else True for _ in range(150)]
+    df = spark.createDataFrame([(k, i, f) for k in "ab" for i, f in enumerate(flags) if i % 40 != 39], "k string, t bigint, idle boolean")
+    whole = sorted(map(str, idle.runs(df, ["k"], "t", "idle").collect()))
+    for block in (4, 10, 40):
+        assert sorted(map(str, idle.runs(df, ["k"], "t", "idle", block).collect())) == whole
+    assert idle.runs(df.filter("false"), ["k"], "t", "idle").count() == 0
+
+
 def test_idle_flags(spark):
     df = spark.createDataFrame([("a", 0, [1.0, 2.0]), ("a", 1, [1.0, 2.0]), ("a", 2, [1.0, 2.5]), ("a", 3, None), ("a", 4, [1.0, 2.5]), ("a", 5, [float("nan"), 2.5])], "k string, t bigint, v array<double>")
     assert [r["idle"] for r in idle.idle_flags(df, ["k"], "t", "v").orderBy("t").collect()] == [False, True, False, False, False, False]
@@ -155,3 +165,9 @@ def test_attended(spark):
     sums = [sum(x[2] for x in rows[: i + 1]) for i in range(40)]
     assert got == {i: sum(rows[j][3] and sums[j] <= sums[i] for j in range(40)) if rows[i][3] else 0 for i in range(40)}
     assert spark.range(1).select(retrieval.block_pairs(F.lit(7).cast("bigint"), 2, 3)).first()[0] == sum(q // 3 >= k // 2 for q in range(7) for k in range(7))
+
+
+def test_listed_segments(spark):
+    df = spark.createDataFrame([("a", [4, 9]), ("b", [1, 2, 3, 7]), ("c", []), ("d", None), ("e", [5])], "k string, s array<int>")
+    assert sorted(map(tuple, segments.listed(df, ["k"], "s").collect())) == [("a", 4, 9), ("b", 1, 4), ("b", 7, 8), ("e", 5, 6)]
+    assert sorted(map(tuple, segments.listed(df, ["k"], "s", pairs=False).collect()))[:2] == [("a", 4, 5), ("a", 9, 10)]
