@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelgrain.session import scratch_path
+from reelgrain.session import scratch_path, shuffle_partitions
 
 
 def clip_key(name: Column) -> Column:
@@ -65,15 +65,17 @@ class RunStore:
         return merged.withColumn("_place", place).filter("_place = 1").select(*self.keys, self.order)
 
 
-def surplus_deliveries(lines: DataFrame, *, runs: int = 4, buckets: int = 16) -> DataFrame:
+def surplus_deliveries(lines: DataFrame, *, runs: int = 4, buckets: int | None = None) -> DataFrame:
     """The ``line_id`` of every line whose message has a line with a smaller ``line_id``.
 
     A message is ``start_second`` and the clip's name by :func:`clip_key`. Lines with a null in
     either, or without ``line_id``, belong to no message and are never surplus; repeated rows count
     once; an empty table gives an empty result; further columns are ignored. A name that is blank
-    apart from folder and extension is a name like others.
+    apart from folder and extension is a name like others. There are as many ``buckets`` as shuffle
+    partitions, 16 at least, unless a number is given.
     """
     spark = lines.sparkSession
+    buckets = buckets or max(16, shuffle_partitions(spark))
     messages = lines.filter("line_id is not null").select("line_id", "batch_id", "start_second", clip_key(F.col("base_name")).alias("clip"))
     store = RunStore(spark, scratch_path(spark, "deliveries"), ["clip", "start_second"], "line_id", buckets)
     store.upsert(messages, F.pmod(F.coalesce("batch_id", F.lit(0)), F.lit(runs)))
@@ -82,7 +84,7 @@ def surplus_deliveries(lines: DataFrame, *, runs: int = 4, buckets: int = 16) ->
     return known.join(kept, "line_id", "left_anti")
 
 
-def deduplicated_lines(lines: DataFrame, *, buckets: int = 16) -> DataFrame:
+def deduplicated_lines(lines: DataFrame, *, buckets: int | None = None) -> DataFrame:
     """The lines without the surplus ones: one of each message, and all that have no identifier."""
     surplus = surplus_deliveries(lines, buckets=buckets)
     return lines.distinct().join(surplus, "line_id", "left_anti")
