@@ -4,8 +4,7 @@ Every source is a queue, ordered by length. A container is opened by the longest
 then filled by deficit round-robin: each window gives every source its share of the tokens as credit,
 and the source with the most credit places its longest document that still fits. What a source could
 not place, or placed too much, is carried to the next windows. Documents are packed in groups by a hash
-of their id; what a group leaves in containers that are at most half full is carried on, with the
-groups' deficits, to a last round over all groups.
+of their id; what a group leaves in its last, unfilled containers is carried on, with the groups' deficits, to a last round over all groups (by thousands of groups, to several rounds).
 """
 
 from __future__ import annotations
@@ -27,6 +26,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: Documents of a group, and target rows that one call takes.
 GROUP, MAX_TARGETS = 50_000, 1_000
+#: Groups whose rests are packed together.
+FAN = 1_000
 
 
 def token_counts(documents: DataFrame, tokenizers: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -114,6 +115,11 @@ def pack_items(sizes: np.ndarray, sources: np.ndarray, capacity: int, deficits:
     return out, credit
 
 
+def _unfilled(fill: np.ndarray, capacity: int) -> np.ndarray:
+    """The last two containers of a group, where they are less than 95 % full; all others were closed because nothing fitted."""
+    return (fill * 20 < 19 * capacity) & (np.arange(len(fill)) >= len(fill) - 2)
+
+
 def _pack_group(pdf: pd.DataFrame) -> pd.DataFrame:
     """All documents of one group and target -> pieces in containers, and the rest to be carried on."""
     capacity, group, target = int(pdf["capacity"].iloc[0]), int(pdf["group"].iloc[0]), pdf["target_name"].iloc[0]
@@ -131,17 +137,25 @@ def _pack_group(pdf: pd.DataFrame) -> pd.DataFrame:
     keep = (rest > 0) | (whole == 0)
     placed, credit = pack_items(rest[keep], source[keep], capacity)
     fill = np.bincount(placed, rest[keep], int(placed.max()) + 1 if len(placed) else 0)
-    pieces = pd.DataFrame({"doc_id": doc[keep], "part": whole[keep], "n_tokens": rest[keep], "source": source[keep], "container": len(at) + placed, "carried": fill[placed] * 2 <= capacity if len(placed) else []})
+    pieces = pd.DataFrame({"doc_id": doc[keep], "part": whole[keep], "n_tokens": rest[keep], "source": source[keep], "container": len(at) + placed, "carried": _unfilled(fill, capacity)[placed]})
     out = pd.concat([full, pieces], ignore_index=True)
     return out.assign(target_name=target, capacity=capacity, group=group, deficit=[credit.get(s, 0.0) for s in out["source"]])
 
 
-def _pack_rest(pdf: pd.DataFrame) -> pd.DataFrame:
-    """What all groups of one target carried on."""
-    pdf = pdf.sort_values(["n_tokens", "doc_id"], ignore_index=True)
-    deficits = pdf.drop_duplicates(["group", "source"]).groupby("source")["deficit"].sum().to_dict()
-    placed, _ = pack_items(pdf["n_tokens"].to_numpy(np.int64), pdf["source"].to_numpy(object), int(pdf["capacity"].iloc[0]), deficits)
-    return pdf.assign(container=placed, group=-1, carried=False)
+def _pack_rest(level: int, last: bool):
+    """What groups of one target carried on; unless this is the last round, unfilled containers are carried on again."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        capacity, group = int(pdf["capacity"].iloc[0]), int(pdf["wider"].iloc[0])
+        pdf = pdf.sort_values(["n_tokens", "doc_id"], ignore_index=True)
+        deficits = pdf.drop_duplicates(["group", "source"]).groupby("source")["deficit"].sum().to_dict()
+        placed, credit = pack_items(pdf["n_tokens"].to_numpy(np.int64), pdf["source"].to_numpy(object), capacity, deficits)
+        fill = np.bincount(placed, pdf["n_tokens"])
+        return pdf.drop(columns="wider").assign(
+            container=placed, group=-1 - (level << 20) - group, carried=_unfilled(fill, capacity)[placed] & (not last), deficit=[credit.get(s, 0.0) for s in pdf["source"]]
+        )
+
+    return run
 
 
 _PIECES = "doc_id bigint, part bigint, n_tokens bigint, source string, container bigint, carried boolean, target_name string, capacity int, group bigint, deficit double"
@@ -166,8 +180,16 @@ def packed(documents: DataFrame, targets: DataFrame, *, tokenizers: str = TOKENI
     items = lengths.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "n_tokens", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("group"), F.explode(wanted).alias("t"))
     items = items.select("doc_id", "source", "n_tokens", "group", "t.target_name", "t.capacity")
     pieces = materialize(items.groupBy("target_name", "group").applyInPandas(_pack_group, _PIECES))
-    rest = pieces.filter("carried").groupBy("target_name").applyInPandas(_pack_rest, _PIECES)
-    done = pieces.filter("not carried").unionByName(rest)
+    done, level = pieces.filter("not carried"), 0
+    while True:  # by tens of thousands of groups, the rests are packed in a tree of rounds
+        wider = -(-groups // FAN)
+        rest = pieces.filter("carried").withColumn("wider", F.pmod(F.xxhash64("group"), F.lit(wider)))
+        pieces = rest.groupBy("target_name", "wider").applyInPandas(_pack_rest(level, wider == 1), _PIECES)
+        if wider == 1:
+            done = done.unionByName(pieces)
+            break
+        pieces = materialize(pieces)
+        done, groups, level = done.unionByName(pieces.filter("not carried")), wider, level + 1
     container = ((F.col("group") + 1) * F.lit(1 << 40) + F.col("container")).alias("container")
     start = (F.col("part") * F.col("capacity")).alias("start_token")
     return done.select("target_name", "capacity", container, "doc_id", "part", start, "n_tokens", F.when(F.col("source") != "", F.col("source")).alias("source"))

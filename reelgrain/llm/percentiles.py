@@ -259,6 +259,8 @@ def answers(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
     return rows.select(*by, field, "dim", "a.n", *known, F.lit(RANK_ERROR).alias("rank_error"))
 
 
+#: Daily sketches of a source that are merged at once; of more days, first in slices.
+DAYS_MERGED = 200
 #: So many episodes' days are sent to every task (about 20 MB); more are joined by a shuffle.
 MAX_DAYS_SENT = 500_000
 
@@ -286,7 +288,8 @@ def all_percentiles(frames: DataFrame, episodes: DataFrame, rigs: DataFrame) ->
     no percentiles. An empty table gives an empty result.
     """
     daily = materialize(daily_sketches(frames, episodes))
-    by_source = materialize(_merged(daily, ["source"]))
+    days = episodes.select(F.to_date("recorded_at")).distinct().count()
+    by_source = materialize(_merged(daily, ["source"], slices=-(-days // DAYS_MERGED)))
     types = rigs.filter("source is not null").groupBy("source").agg(F.min("robot_type").alias("robot_type"))
     by_type = _merged(by_source.join(types, "source", "left"), ["robot_type"], slices=16)
     day = answers(daily, ["source", "day"]).withColumnRenamed("source", "name").withColumn("scope", F.lit("source_day"))

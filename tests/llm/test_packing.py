@@ -67,6 +67,19 @@ def test_table(spark, monkeypatch):
     assert report["small"]["documents"] == len(tokens) and report["small"]["fewest"] <= report["small"]["containers"]
 
 
+def test_rounds(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 5)
+    monkeypatch.setattr(packing, "FAN", 4)
+    df = spark.createDataFrame([(i, "ab"[i % 2], " ".join(["word"] * (1 + i % 9)), 1, 2) for i in range(400)], DOCS)
+    tokens = {x["doc_id"]: x["n_tokens"] for x in token_counts(df).collect()}
+    out = packed(df, spark.createDataFrame([("t", 64)], "target_name string, capacity_tokens int")).collect()
+    held = {}
+    for x in out:
+        held[x["container"]] = held.get(x["container"], 0) + x["n_tokens"]
+    assert sorted(x["doc_id"] for x in out) == list(range(400)) and max(held.values()) <= 64
+    assert sum(held.values()) == sum(tokens.values()) and len(held) <= 1.3 * sum(tokens.values()) / 64
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], DOCS)
     targets = spark.createDataFrame([("t", 8)], "target_name string, capacity_tokens int")

@@ -78,6 +78,16 @@ def test_table(spark):
         assert r["n"] == len(own) and r["p50"] == own[int(np.ceil(0.5 * len(own))) - 1]
 
 
+def test_many_days(spark, monkeypatch):
+    rows = [(i, i // 10, "a", [float(i)], None) for i in range(200)]
+    episodes = spark.createDataFrame([(e, dt.datetime(2025, 1, 1) + dt.timedelta(days=e)) for e in range(20)], "episode_index bigint, recorded_at timestamp")
+    rigs = spark.createDataFrame([("a", "arm")], "source string, robot_type string")
+    whole = [r for r in P.all_percentiles(frames(spark, rows), episodes, rigs).collect() if r["scope"] != "source_day"]
+    monkeypatch.setattr(P, "DAYS_MERGED", 3)
+    sliced = [r for r in P.all_percentiles(frames(spark, rows), episodes, rigs).collect() if r["scope"] != "source_day"]
+    assert sorted(map(str, whole)) == sorted(map(str, sliced)) and whole[0]["p50"] == 99.0
+
+
 def test_empty_and_all_null(spark):
     episodes = spark.createDataFrame([], "episode_index bigint, recorded_at timestamp")
     rigs = spark.createDataFrame([], "source string, robot_type string")
