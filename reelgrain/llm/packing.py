@@ -4,7 +4,8 @@ Every source is a queue, ordered by length. A container is opened by the longest
 then filled by deficit round-robin: each window gives every source its share of the tokens as credit,
 and the source with the most credit places its longest document that still fits. What a source could
 not place, or placed too much, is carried to the next windows. Documents are packed in groups by a hash
-of their id; what a group leaves in its last, unfilled containers is carried on, with the groups' deficits, to a last round over all groups (by thousands of groups, to several rounds).
+of their id; what a group leaves in its last, unfilled containers is carried on, with the groups'
+deficits, to a last round over all groups (by thousands of groups, to several rounds).
 """
 
 from __future__ import annotations
