@@ -58,8 +58,10 @@ LEXICON = {
     "rule": "rule rules policy policies moderation removal removed report reported forbidden prohibited reasons guideline guidelines regeln verboten gemeldet normas prohibido moderación 规则 禁止 举报 审核",
 }
 #: Weights that the classes start with, for tables with few or no reviews.
-START = {"insult": 1.0, "degrade": 1.0, "explicit": 1.2, "threat": 0.5, "you": 0.4, "self": -0.6, "machine": -0.8, "rule": -1.5, "disguised": 1.5}
+START = {"insult": 2.0, "degrade": 2.0, "explicit": 2.2, "threat": 1.0, "you": 0.8, "self": -1.0, "machine": -1.2, "rule": -2.5, "disguised": 1.5}
 BIAS = -2.5
+#: What a passage needs for the first choice: so much weight from the word list, or log ratios of its terms that add up so far.
+LISTED, TELLING = 0.8, 20.0
 
 _LOOK_ALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "€": "e", "|": "l"})
 _CONFUSABLE = str.maketrans("аеорсухіјѕԁӏ", "aeopcyxijsdl")
@@ -217,11 +219,11 @@ class FactorizationMachine:
                 self.weight[0], self.factor[0] = 0, 0
 
 
-def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2, folds: int = 3) -> FactorizationMachine:
+def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2, folds: int = 4) -> FactorizationMachine:
     """Fit to passages ``x`` of documents ``owner``, of which ``harmful`` tells the (sometimes wrong) label.
 
-    The first choice of passages goes by how much more often their terms and they themselves occur in
-    harmful documents. Later ones go by machines fitted to other documents than those they judge, so
+    The first choice of passages goes by the word list, and by how much more often their terms and they
+    themselves occur in harmful documents. Later ones go by machines fitted to other documents than those they judge, so
     that a wrong label is not learnt by heart.
     """
     documents, bad = len(harmful), harmful[owner]
@@ -244,7 +246,7 @@ def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2
     def fit(rows: np.ndarray, chosen: np.ndarray, fine: np.ndarray, epochs: int) -> FactorizationMachine:
         kept = rows & (chosen | fine)
         y = chosen[kept].astype(np.float32)
-        weight = np.where(y > 0, np.clip(np.sqrt((1 - y).sum() / max(1, y.sum())), 1, 8), 1.0).astype(np.float32)
+        weight = np.where(y > 0, np.clip(np.sqrt((1 - y).sum() / max(1, y.sum())), 1, 4), 1.0).astype(np.float32)
         machine = FactorizationMachine()
         machine.fit(x[kept], y, weight, epochs)
         return machine
@@ -253,17 +255,16 @@ def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2
     marks = ratio[x].sum(axis=1) + np.maximum(0, listed)
     best = np.full(documents, -np.inf)
     np.maximum.at(best, owner, marks)
-    chosen, fine = bad & ~usual & (marks > 0) & (marks >= 0.8 * best[owner]), ~bad
+    speaks = (listed > LISTED) | (marks > TELLING)
+    chosen, fine = bad & ~usual & speaks & (marks >= 0.8 * best[owner]), ~bad
     fold = owner % folds
     for _ in range(rounds):
         if chosen.sum() < 30:  # too few to judge each other: those that the word list speaks for
-            chosen &= listed > 0.8
+            chosen &= listed > LISTED
             break
         for f in range(folds):
             marks[fold == f] = fit(fold != f, chosen, fine, 3).score(x[fold == f])
-        best = np.full(documents, -np.inf)
-        np.maximum.at(best, owner, marks)
-        chosen = bad & ~usual & ((marks > 0.5) | ((marks >= best[owner]) & (marks > 0.2)))
+        chosen = bad & ~usual & (marks > 0.5)
         fine = ~bad & (marks < 0.8)  # the others are of documents that a reviewer took for fine
     return fit(np.ones(len(x), bool), chosen, fine, 6)
 
