@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelgrain.session import scratch_path, shuffle_partitions
+from reelgrain.session import scratch_path
+
+
+BUCKET_ROWS = 2_000_000
 
 
 def clip_key(name: Column) -> Column:
@@ -71,11 +74,11 @@ def surplus_deliveries(lines: DataFrame, *, runs: int = 4, buckets: int | None =
     A message is ``start_second`` and the clip's name by :func:`clip_key`. Lines with a null in
     either, or without ``line_id``, belong to no message and are never surplus; repeated rows count
     once; an empty table gives an empty result; further columns are ignored. A name that is blank
-    apart from folder and extension is a name like others. There are as many ``buckets`` as shuffle
-    partitions, 16 at least, unless a number is given.
+    apart from folder and extension is a name like others. Unless a number of ``buckets`` is given,
+    each holds about ``BUCKET_ROWS`` deliveries, with 16 at least.
     """
     spark = lines.sparkSession
-    buckets = buckets or max(16, shuffle_partitions(spark))
+    buckets = buckets or max(16, -(-lines.count() // BUCKET_ROWS))
     messages = lines.filter("line_id is not null").select("line_id", "batch_id", "start_second", clip_key(F.col("base_name")).alias("clip"))
     store = RunStore(spark, scratch_path(spark, "deliveries"), ["clip", "start_second"], "line_id", buckets)
     store.upsert(messages, F.pmod(F.coalesce("batch_id", F.lit(0)), F.lit(runs)))
