@@ -46,3 +46,9 @@ def test_plans_push_down(spark):
     assert "ReadSchema: struct<l_quantity:double>" in plan
     plan = catalog.queries()["nearest_timestamp"](spark, ROOT)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,error)" in plan
+
+
+@pytest.mark.parametrize(("name", "columns"), [("p4_found", [("line_id", "bigint")]), ("p5_found", [("index", "bigint"), ("field_name", "string"), ("dim", "int")])])
+def test_given_columns(spark, name, columns):
+    df = catalog.queries()[name](spark, ROOT)
+    assert df.dtypes == columns and df.count() == df.distinct().count() > 0
