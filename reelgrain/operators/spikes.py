@@ -1,10 +1,10 @@
 """Implausible readings of frame vectors: impossible values, stuck stretches and spikes.
 
-One pass over the frames, grouped by episode, yields two things: compact statistics of every
-channel's frame-to-frame moves on its rig, and candidates that are judged by the episode's own
-neighbourhood (a Hampel filter: departure from the rolling median of seven frames). The statistics of
-all passes are merged per rig and channel, and then decide about the candidates. Only the
-candidates and the statistics leave the pass; frames are shuffled once.
+Two passes over the frames, grouped by episode. The first yields compact statistics of every
+channel's frame-to-frame moves, which are merged per rig and channel. The second knows them and
+judges the readings by the episode's own neighbourhood (a Hampel filter: departure from the rolling
+median of seven frames) and by what is normal on the whole rig, never by the frames that a task
+happens to hold. Only the statistics and the cases leave the passes; frames are shuffled in each.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelgrain.functions.vectors import list_matrix, median_of_seven
-from reelgrain.session import materialize, shuffle_partitions
+from reelgrain.session import shuffle_partitions
 
 FIELDS = ("observation.state", "action")
 #: Frames of an episode that one group holds; longer episodes are cut, and HALO frames of the neighbours go along.
@@ -29,9 +29,10 @@ BLOCK, HALO = 4096, 8
 PER_OCTAVE, LOWEST, BINS = 8, -40, 8 * 72
 #: A candidate departs by so many times the median move of its neighbourhood; well below what can be a case.
 CANDIDATE = 4.0
-OUT, STUCK, SPIKE, STATS = 0, 1, 2, 3
-SCHEMA = "kind int, source string, field int, index bigint, dim int, departure float, payload binary"
-#: Rigs are a small catalogue whose limits every task needs.
+OUT, STUCK, SPIKE = 0, 1, 2
+STATS_SCHEMA = "source string, field int, payload binary"
+SCHEMA = "kind int, field int, index bigint, dim int, departure float, top_move double"
+#: Rigs are a small catalogue whose limits and usual moves every task needs.
 MAX_RIGS = 20_000
 
 
@@ -64,7 +65,7 @@ def _run_lengths(same: np.ndarray) -> np.ndarray:
 
 
 def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.ndarray, low: np.ndarray, high: np.ndarray, min_run: int) -> dict:
-    """Candidates and statistics of frames that lie in order.
+    """Long stretches, spike candidates and statistics of frames that lie in order.
 
     ``segment``: first row of each row's episode block. ``linked``: whether the row is the very next
     frame of the row before.
@@ -112,9 +113,7 @@ def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.
     bins[calm] = np.clip(np.floor(np.log2(move[calm]) * PER_OCTAVE) - LOWEST * PER_OCTAVE, 0, BINS - 1)
     bins += np.arange(width, dtype=np.int32) * BINS
     counts = [np.bincount(bins[m], minlength=width * BINS).reshape(width, BINS) for m in (free, calm)]
-    # Where most readings equal their predecessor, stretches are normal: they are no candidates.
-    stuck = long & ((held < 0.75 * pairs) & (pairs > 0))
-    return {"out": out, "stuck": stuck, "spike": spike, "departure": departure, "pairs": pairs, "held": held, "counts": counts}
+    return {"out": out, "long": long, "spike": spike, "departure": departure, "pairs": pairs, "held": held, "counts": counts}
 
 
 class Moves:
@@ -136,14 +135,21 @@ class Moves:
         return np.frombuffer(zlib.decompress(data), np.int64).reshape(-1, 2 + 2 * BINS)
 
 
-def _pass(limits: dict[str, list[np.ndarray]], min_run: int):
-    names = ["kind", "source", "field", "index", "dim", "departure", "payload"]
-    types = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.float32(), pa.binary()]
+def _normal(stats: DataFrame) -> dict[tuple[str | None, int], tuple[np.ndarray, np.ndarray]]:
+    """By rig and field: which channels normally move, and their top moves."""
+    rows = stats.limit(2 * MAX_RIGS + 1).collect()
+    if len(rows) > 2 * MAX_RIGS:
+        raise ValueError(f"more than {MAX_RIGS} rigs; their usual moves can't be sent to every task")
+    return {(r["source"], r["field"]): (np.array(r["moving"], bool), np.array(r["top_move"], np.float64)) for r in rows}
 
-    def batch(kind: np.ndarray, source: str | None, field: int, index: np.ndarray, dim: np.ndarray, departure: np.ndarray) -> pa.RecordBatch:
+
+def _pass(limits: dict[str, list[np.ndarray]], min_run: int, normal: dict | None = None, spike_factor: float = 0.0):
+    """The pass that yields statistics, or, where what is ``normal`` is known, the one that yields cases."""
+
+    def batch(kind: int, field: int, index: np.ndarray, dim: np.ndarray, departure: np.ndarray, top: np.ndarray) -> pa.RecordBatch:
         n = len(index)
-        columns = [pa.array(kind, pa.int32()), pa.array([source] * n, pa.string()), pa.array(np.full(n, field), pa.int32()), pa.array(index, pa.int64()), pa.array(dim, pa.int32()), pa.array(departure, pa.float32()), pa.nulls(n, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+        columns = [pa.array(np.full(n, kind), pa.int32()), pa.array(np.full(n, field), pa.int32()), pa.array(index, pa.int64()), pa.array(dim, pa.int32()), pa.array(departure, pa.float32()), pa.array(top, pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "field", "index", "dim", "departure", "top_move"])
 
     def judge(rows: pa.Table, moves: dict) -> Iterator[pa.RecordBatch]:
         """Rows of one rig: whole episode blocks in order."""
@@ -164,15 +170,19 @@ def _pass(limits: dict[str, list[np.ndarray]], min_run: int):
         linked[1:] = ~new[1:] & (frame[1:] == frame[:-1] + 1)
         for field in range(2):
             x, present = list_matrix(rows["vector" + str(field)])
-            if not x.shape[1]:
+            width = x.shape[1]
+            if not width:
+                continue
+            found = examine(x, present, segment, linked, *_bounds(limits, source, field, width), min_run)
+            if normal is None:
+                moves.setdefault((source, field), Moves(0)).add(np.hstack([found["pairs"][:, None], found["held"][:, None], *found["counts"]]))
                 continue
-            found = examine(x, present, segment, linked, *_bounds(limits, source, field, x.shape[1]), min_run)
-            table = np.hstack([found["pairs"][:, None], found["held"][:, None], *found["counts"]])
-            moves.setdefault((source, field), Moves(0)).add(table)
-            for kind, name in ((OUT, "out"), (STUCK, "stuck"), (SPIKE, "spike")):
-                at, dim = np.nonzero(found[name] & own[:, None])
+            moving, top = (v[:width] for v in normal[source, field])
+            cases = ((OUT, found["out"]), (STUCK, found["long"] & moving), (SPIKE, found["spike"] & (found["departure"] > spike_factor * top)))
+            for kind, case in cases:
+                at, dim = np.nonzero(case & own[:, None])
                 if len(at):
-                    yield batch(np.full(len(at), kind), source, field, index[at], dim, found["departure"][at, dim])
+                    yield batch(kind, field, index[at], dim, found["departure"][at, dim], top[dim])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moves: dict = {}
@@ -202,7 +212,7 @@ def _pass(limits: dict[str, list[np.ndarray]], min_run: int):
                 yield from ready(False)
         yield from ready(True)
         for (source, field), m in moves.items():
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([STATS, source, field, None, None, None, m.pack()], types)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([source], pa.string()), pa.array([field], pa.int32()), pa.array([m.pack()], pa.binary())], names=["source", "field", "payload"])
 
     return run
 
@@ -212,8 +222,8 @@ def _merge_moves(pdf: pd.DataFrame, quantile: float, held_share: float) -> pd.Da
     total = Moves(0)
     for data in pdf["payload"]:
         total.add(Moves.unpack(data))
-    rows = []
-    for d, row in enumerate(total.table):
+    movings, tops = [], []
+    for row in total.table:
         pairs, held = row[:2]
         moving = bool(pairs > 0 and held < held_share * pairs)
         counts = row[2 : 2 + BINS] if moving and row[2 : 2 + BINS].any() else row[2 + BINS :]
@@ -222,11 +232,9 @@ def _merge_moves(pdf: pd.DataFrame, quantile: float, held_share: float) -> pd.Da
         if n:
             k = int(np.searchsorted(np.cumsum(counts), np.ceil(quantile * n)))
             top = float(2.0 ** ((k + 1) / PER_OCTAVE + LOWEST))
-        rows.append((d, moving, top))
-    frame = pd.DataFrame(rows, columns=["dim", "moving", "top_move"])
-    frame.insert(0, "field", pdf["field"].iloc[0])
-    frame.insert(0, "source", pdf["source"].iloc[0])
-    return frame
+        movings.append(moving)
+        tops.append(top)
+    return pd.DataFrame({"source": [pdf["source"].iloc[0]], "field": [pdf["field"].iloc[0]], "moving": [movings], "top_move": [tops]})
 
 
 def implausible_readings(
@@ -266,21 +274,10 @@ def implausible_readings(
         .withColumn("own", lone | (F.col("block") == at))
     )
     sorted_rows = rows.repartition(shuffle_partitions(spark), "episode_index", "block").sortWithinPartitions("source", "episode_index", "block", "frame_index", "index")
-    found = materialize(sorted_rows.mapInArrow(_pass(_limits(rigs), min_run), SCHEMA))
-
-    normal = (
-        found.filter(F.col("kind") == STATS)
-        .groupBy("source", "field")
-        .applyInPandas(lambda pdf: _merge_moves(pdf, quantile, held_share), "source string, field int, dim int, moving boolean, top_move double")
-    )
-    cases = found.filter(F.col("kind") != STATS).drop("payload").alias("c")
-    n = normal.alias("n")
-    joined = cases.join(n, F.col("c.source").eqNullSafe(F.col("n.source")) & (F.col("c.field") == F.col("n.field")) & (F.col("c.dim") == F.col("n.dim")))
-    kept = joined.filter(
-        (F.col("c.kind") == OUT)
-        | ((F.col("c.kind") == STUCK) & F.col("n.moving"))
-        | ((F.col("c.kind") == SPIKE) & (F.col("c.departure") > spike_factor * F.col("n.top_move")))
-    )
-    field = F.when(F.col("c.field") == 0, FIELDS[0]).otherwise(FIELDS[1])
-    reason = F.element_at(F.array(F.lit("limit"), F.lit("stuck"), F.lit("spike")), F.col("c.kind") + 1)
-    return kept.select("c.index", field.alias("field_name"), "c.dim", reason.alias("reason"), F.col("c.departure").alias("departure"), F.col("n.top_move").alias("top_move"))
+    known = _limits(rigs)
+    stats = sorted_rows.mapInArrow(_pass(known, min_run), STATS_SCHEMA)
+    normal = _normal(stats.groupBy("source", "field").applyInPandas(lambda pdf: _merge_moves(pdf, quantile, held_share), "source string, field int, moving array<boolean>, top_move array<double>"))
+    found = sorted_rows.mapInArrow(_pass(known, min_run, normal, spike_factor), SCHEMA)
+    field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1])
+    reason = F.element_at(F.array(F.lit("limit"), F.lit("stuck"), F.lit("spike")), F.col("kind") + 1)
+    return found.select("index", field.alias("field_name"), "dim", reason.alias("reason"), "departure", "top_move")

@@ -95,6 +95,24 @@ def test_hot_rig_and_second_rig(spark):
     assert got == {(1000 * e + 40, "observation.state", 0) for e in range(12)}
 
 
+def test_frozen_episode_at_any_partitioning(spark):
+    """A channel that is stuck for most of a short episode is judged by its rig, however the frames are dealt out."""
+    rows = []
+    for e in range(12):
+        state, action = recording(300 if e else 62, e)
+        if not e:
+            state[8:58, 0] = state[8, 0]
+        rows += frame_rows(state, action, e, first=1000 * e)
+    want = {(i, "observation.state", 0, "stuck") for i in range(8, 58)}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (1, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert found(spark, rows) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_vectors():
     m, there = list_matrix(pa.array([[1.0, None], None, [3.0], []], pa.list_(pa.float32())))
     assert m.shape == (4, 2) and there.tolist() == [[True, False], [False, False], [True, False], [False, False]]
