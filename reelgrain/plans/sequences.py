@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelgrain.operators import chunks as C
 from reelgrain.operators import datasets as D
 from reelgrain.operators import idle as I
+from reelgrain.operators.delivery import clip_key
 from reelgrain.sources.tables import table
 
 
@@ -104,8 +105,8 @@ def task_reindex(spark: SparkSession, root: str) -> DataFrame:
 
 
 def annotation_update(spark: SparkSession, root: str) -> DataFrame:
-    notes = table(spark, root, "annotation_lines").filter("error is null and base_name rlike '^episode_[0-9]+$' and task_description is not null")
-    notes = notes.select(F.regexp_extract("base_name", r"(\d+)", 1).cast("bigint").alias("episode_index"), "start_second", "line_id", "task_description")
+    notes = table(spark, root, "annotation_lines").filter("error is null and task_description is not null")
+    notes = notes.select(F.regexp_extract(clip_key(F.col("base_name")), r"^episode_(\d+)$", 1).try_cast("bigint").alias("episode_index"), "start_second", "line_id", "task_description")
     return D.updated_tasks(_episodes(spark, root).select("episode_index", "tasks"), notes, "episode_index", ["start_second", "line_id"], "task_description")
 
 

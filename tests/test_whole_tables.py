@@ -14,3 +14,14 @@ def test_range_key_lookup_reads_all_orders(spark):
         a, b = key * 37 % 500, (key * 37 + customer % 11 - 5) % 500
         want |= dict.fromkeys(range(min(a, b), max(a, b) + 1), info)
     assert {r["number"]: r["info"] for r in catalog.queries()["range_key_lookup"](spark, ROOT).collect()} == want
+
+
+def test_annotation_update_reads_all_spellings(spark):
+    lines = duckdb.sql(f"SELECT base_name, coalesce(start_second, -1), line_id, task_description FROM '{ROOT}/annotation_lines.parquet' WHERE error IS NULL AND base_name IS NOT NULL AND task_description IS NOT NULL").fetchall()
+    first = {}
+    for name, start, line, text in sorted(lines, key=lambda r: r[1:3]):
+        stem = name.strip().replace("\\", "/").rpartition("/")[2].lower().partition(".")[0].strip()
+        first.setdefault(int(stem.removeprefix("episode_")), [text])
+    episodes = duckdb.sql(f"SELECT DISTINCT episode_index, tasks FROM '{ROOT}/episodes.parquet'").fetchall()
+    got = {r["episode_index"]: r["tasks"] for r in catalog.queries()["annotation_update"](spark, ROOT).collect()}
+    assert got == {e: first.get(e, tasks) for e, tasks in episodes}
