@@ -27,7 +27,7 @@ FIELDS = ("observation.state", "action")
 BLOCK, HALO = 4096, 8
 #: The histogram of moves: bins per octave, and the exponent of its lowest edge.
 PER_OCTAVE, LOWEST, BINS = 8, -40, 8 * 72
-#: A candidate departs by so many times the median move of its neighbourhood; well below what can be a case.
+#: Moves to and from a reading that departs by so many times the median move of its neighbourhood don't count as usual ones.
 CANDIDATE = 4.0
 OUT, STUCK, SPIKE = 0, 1, 2
 STATS_SCHEMA = "source string, field int, payload binary"
@@ -65,7 +65,7 @@ def _run_lengths(same: np.ndarray) -> np.ndarray:
 
 
 def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.ndarray, low: np.ndarray, high: np.ndarray, min_run: int) -> dict:
-    """Long stretches, spike candidates and statistics of frames that lie in order.
+    """Long stretches, departures and statistics of frames that lie in order.
 
     ``segment``: first row of each row's episode block. ``linked``: whether the row is the very next
     frame of the row before.
@@ -103,9 +103,9 @@ def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.
     for d in np.flatnonzero(moved.any(axis=0)):
         values = move[moved[:, d], d]
         middle[d] = np.partition(values, len(values) // 2)[len(values) // 2]
-    spike = good & (departure > CANDIDATE * middle) & (departure > 0)
-    calm = moved & ~spike
-    calm[1:] &= ~spike[:-1]
+    wild = good & (departure > CANDIDATE * middle) & (departure > 0)
+    calm = moved & ~wild
+    calm[1:] &= ~wild[:-1]
     free = calm & ~long
     free[1:] &= ~long[:-1]
     pairs, held = pair.sum(axis=0), same.sum(axis=0)
@@ -113,7 +113,7 @@ def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.
     bins[calm] = np.clip(np.floor(np.log2(move[calm]) * PER_OCTAVE) - LOWEST * PER_OCTAVE, 0, BINS - 1)
     bins += np.arange(width, dtype=np.int32) * BINS
     counts = [np.bincount(bins[m], minlength=width * BINS).reshape(width, BINS) for m in (free, calm)]
-    return {"out": out, "long": long, "spike": spike, "departure": departure, "pairs": pairs, "held": held, "counts": counts}
+    return {"out": out, "long": long, "departure": departure, "pairs": pairs, "held": held, "counts": counts}
 
 
 class Moves:
@@ -178,7 +178,7 @@ def _pass(limits: dict[str, list[np.ndarray]], min_run: int, normal: dict | None
                 moves.setdefault((source, field), Moves(0)).add(np.hstack([found["pairs"][:, None], found["held"][:, None], *found["counts"]]))
                 continue
             moving, top = (v[:width] for v in normal[source, field])
-            cases = ((OUT, found["out"]), (STUCK, found["long"] & moving), (SPIKE, found["spike"] & (found["departure"] > spike_factor * top)))
+            cases = ((OUT, found["out"]), (STUCK, found["long"] & moving), (SPIKE, found["departure"] > spike_factor * top))
             for kind, case in cases:
                 at, dim = np.nonzero(case & own[:, None])
                 if len(at):

@@ -113,6 +113,26 @@ def test_frozen_episode_at_any_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", was)
 
 
+def test_spike_in_fast_episode(spark):
+    """A departure beyond the rig's limit counts, however fast the episode moves that the task holds."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for e in range(41):
+        n = 62 if not e else 400
+        t = np.arange(n)
+        state, action = recording(n, e)
+        state[:, 0] = (t * 0.1 if not e else t * 0.002) + rng.normal(0, 0.0001, n)
+        rows += frame_rows(state, action, e, first=1000 * e)
+    rows[30][4][0] += 0.45
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (1, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert (30, "observation.state", 0, "spike") in found(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_vectors():
     m, there = list_matrix(pa.array([[1.0, None], None, [3.0], []], pa.list_(pa.float32())))
     assert m.shape == (4, 2) and there.tolist() == [[True, False], [False, False], [True, False], [False, False]]
