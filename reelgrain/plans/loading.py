@@ -26,7 +26,7 @@ def json_or_pairs(spark: SparkSession, root: str) -> DataFrame:
 
 def label_cleanup(spark: SparkSession, root: str) -> DataFrame:
     text = F.concat(F.lit("**I think**\nFinal grasp: `"), F.col("grasp_type"), F.lit("`\nend"))
-    rows = table(spark, root, "grasp_records").filter("grasp_type rlike '^[A-Za-z]+:[A-Za-z ]+$'").select("grasp_type").distinct()
+    rows = table(spark, root, "grasp_records").select("grasp_type").distinct()
     return rows.select("grasp_type", P.plain_label(text).alias("label"), P.labelled(P.plain_label(text), ["Power", "Precision", "Intermediate"]).alias("found"))
 
 

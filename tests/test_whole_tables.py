@@ -1,5 +1,7 @@
 """Queries over whole tables, held against code of their own."""
 
+import re
+
 import duckdb
 
 from reelgrain.plans import catalog
@@ -25,3 +27,13 @@ def test_annotation_update_reads_all_spellings(spark):
     episodes = duckdb.sql(f"SELECT DISTINCT episode_index, tasks FROM '{ROOT}/episodes.parquet'").fetchall()
     got = {r["episode_index"]: r["tasks"] for r in catalog.queries()["annotation_update"](spark, ROOT).collect()}
     assert got == {e: first.get(e, tasks) for e, tasks in episodes}
+
+
+def test_label_cleanup_reads_all_labels(spark):
+    labels = [r[0] for r in duckdb.sql(f"SELECT DISTINCT grasp_type FROM '{ROOT}/grasp_records.parquet'").fetchall()]
+    got = {r["grasp_type"]: (r["label"], r["found"]) for r in catalog.queries()["label_cleanup"](spark, ROOT).collect()}
+    assert got.keys() == set(labels)
+    for text in filter(None, labels):
+        label = " ".join(re.sub("[*`]", "", text).split())
+        both = re.search(r"\b(?:power|precision|intermediate)\s*:\s*[a-z_ ]*[a-z]", label, re.I) or re.search(r"\b(?:power|precision|intermediate)\b", label, re.I)
+        assert got[text] == (label, both and both[0])
