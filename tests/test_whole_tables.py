@@ -1,5 +1,6 @@
 """Queries over whole tables, held against code of their own."""
 
+import math
 import re
 
 import duckdb
@@ -37,3 +38,15 @@ def test_label_cleanup_reads_all_labels(spark):
         label = " ".join(re.sub("[*`]", "", text).split())
         both = re.search(r"\b(?:power|precision|intermediate)\s*:\s*[a-z_ ]*[a-z]", label, re.I) or re.search(r"\b(?:power|precision|intermediate)\b", label, re.I)
         assert got[text] == (label, both and both[0])
+
+
+def test_norm_stats_rigs_reads_all_finite_readings(spark):
+    rows = duckdb.sql(f"""SELECT source, any_value("observation.state") FROM '{ROOT}/frames.parquet' GROUP BY index, source""").fetchall()
+    values = {}
+    for source, vector in rows:
+        for dim, x in enumerate(vector or []):
+            if x is not None and math.isfinite(x):
+                values.setdefault((source, dim), []).append(x)
+    got = {(r["source"], r["dim"]): (r["n"], r["low"], r["high"]) for r in catalog.queries()["norm_stats_rigs"](spark, ROOT).collect()}
+    assert got == {k: (len(v), round(min(v), 4), round(max(v), 4)) for k, v in values.items()}
+    assert any(abs(x) >= 1e6 for v in values.values() for x in v)
