@@ -224,7 +224,8 @@ def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2
 
     The first choice of passages goes by the word list, and by how much more often their terms and they
     themselves occur in harmful documents. Later ones go by machines fitted to other documents than those they judge, so
-    that a wrong label is not learnt by heart.
+    that a wrong label is not learnt by heart. With fewer than 30 chosen passages there are no such rounds, and
+    only those that the word list speaks for are learnt.
     """
     documents, bad = len(harmful), harmful[owner]
     if not bad.any() or bad.all():
