@@ -22,8 +22,12 @@ def json_or_pair(text: Column, name: str, missing: str = "Unknown") -> Column:
 
 
 def plain_label(text: Column) -> Column:
-    """A label without emphasis marks, with one kind of dash and single spaces; of several lines the one that calls itself final."""
-    clean = F.regexp_replace(F.regexp_replace(text, r"[*`]", ""), "[‐‑‒–—]", "-")
+    """A label without emphasis marks, with one kind of dash and single spaces; of several lines the one that calls itself final.
+
+    Underscores are emphasis where they stand round words, not inside of one.
+    """
+    clean = F.regexp_replace(F.regexp_replace(text, r"[*`]", ""), r"(^|\W)_+([^\s_](?:[^_]*[^\s_])?)_+($|\W)", "$1$2$3")
+    clean = F.regexp_replace(clean, "[‐‑‒–—]", "-")
     final = F.regexp_extract(clean, r"(?im)^.*final[^:\n]*:\s*(.+)$", 1)
     return F.trim(F.regexp_replace(F.when(final != "", final).otherwise(clean), r"\s+", " "))
 

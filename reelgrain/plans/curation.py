@@ -348,7 +348,7 @@ ORACLE = {
         AND NOT EXISTS (SELECT 1 FROM annotation_lines b WHERE b.error IS NULL AND a.base_name = b.base_name AND a.start_second = b.start_second)""",
     "error_rules": "SELECT count(*) FILTER (WHERE error IS NULL) AS no_error, count(*) FILTER (WHERE coalesce(error, '') = '') AS no_text, count(*) AS lines FROM annotation_lines",
     "collect_segments": "SELECT base_name, list(line_id ORDER BY start_second, line_id) AS lines FROM annotation_lines WHERE base_name IS NOT NULL AND start_second IS NOT NULL AND error IS NULL GROUP BY base_name",
-    "range_key_lookup": """WITH r AS (SELECT o_orderkey AS line, o_orderpriority AS info, (o_orderkey * 37) % 500 AS a, (((o_orderkey * 37 + o_custkey % 11 - 5) % 500) + 500) % 500 AS b FROM orders WHERE o_orderkey < 3000 AND o_orderkey % 7 <> 0),
+    "range_key_lookup": """WITH r AS (SELECT o_orderkey AS line, o_orderpriority AS info, (o_orderkey * 37) % 500 AS a, (((o_orderkey * 37 + o_custkey % 11 - 5) % 500) + 500) % 500 AS b FROM orders WHERE o_orderkey % 7 <> 0),
         x AS (SELECT line, info, unnest(range(least(a, b), greatest(a, b) + 1)) AS number FROM r) SELECT number, arg_max(info, line) AS info FROM x GROUP BY number""",
     "annotation_progress": """WITH c AS (SELECT base_name, count(*) FILTER (WHERE error IS NULL) AS n, count(*) AS target FROM annotation_lines GROUP BY 1)
         SELECT count(*) FILTER (WHERE n = target) AS complete, count(*) FILTER (WHERE n > 0) AS begun, sum(n)::BIGINT AS pieces FROM c""",

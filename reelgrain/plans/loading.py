@@ -147,7 +147,8 @@ _FRAMES = "one AS (SELECT index, any_value(episode_index) AS episode_index, any_
 ORACLE = {
     "pair_extract": "SELECT event_id, lower(event_type) AS grasp, user_id::VARCHAR AS size, NULL::VARCHAR AS none FROM events",
     "json_or_pairs": "SELECT event_id, CASE event_id % 3 WHEN 0 THEN props::JSON ->> '$.k' WHEN 1 THEN event_type ELSE 'Unknown' END AS k FROM events",
-    "label_cleanup": "SELECT DISTINCT grasp_type, trim(regexp_replace(grasp_type, '\\s+', ' ', 'g')) AS label, CASE WHEN lower(split_part(grasp_type, ':', 1)) IN ('power', 'precision', 'intermediate') THEN trim(regexp_replace(grasp_type, '\\s+', ' ', 'g')) END AS found FROM grasp_records WHERE regexp_full_match(grasp_type, '[A-Za-z]+:[A-Za-z ]+')",
+    "label_cleanup": r"""WITH d AS (SELECT DISTINCT grasp_type FROM grasp_records), c AS (SELECT grasp_type, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(grasp_type, '[*`]', '', 'g'), '(^|\W)_+([^\s_](?:[^_]*[^\s_])?)_+($|\W)', '\1\2\3', 'g'), '[‐‑‒–—]', '-', 'g'), '\s+', ' ', 'g')) AS label FROM d)
+        SELECT grasp_type, label, coalesce(nullif(regexp_extract(label, '(?i)\b((?:Power|Precision|Intermediate)\s*:\s*[A-Za-z_ ]+[A-Za-z])', 1), ''), nullif(regexp_extract(label, '(?i)\b(Power|Precision|Intermediate)\b', 1), '')) AS found FROM c""",
     "answer_check": "SELECT p_partkey, p_partkey % 5 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 4 <> 0 AS good FROM part",
     "prefix_rules": "SELECT p_partkey, (CASE WHEN p_brand LIKE 'Brand#1%' THEN 10 WHEN p_brand IN ('Brand#2', 'Brand#3', 'Brand#4') THEN 20 ELSE 30 END)::BIGINT AS days FROM part",
     "text_blocks": "SELECT source, source || chr(10) || '- type: ' || coalesce(robot_type, 'none') || chr(10) || '- fps: ' || coalesce(fps::VARCHAR, 'none') AS block FROM rigs",

@@ -195,8 +195,9 @@ ORACLE = {
     "task_join": f"WITH {_FRAMES} SELECT task, count(*) AS frames FROM one LEFT JOIN tasks USING (task_index) GROUP BY task",
     "task_reindex": f"""WITH {_FRAMES}, {_EPISODES}, {_DICTIONARY}, w AS (SELECT episode_index, min(tasks[1]) AS task FROM eps GROUP BY 1)
         SELECT index, coalesce(dict.task_index, one.task_index) AS task_index FROM one LEFT JOIN w USING (episode_index) LEFT JOIN dict USING (task)""",
-    "annotation_update": f"""WITH {_EPISODES}, n AS (SELECT regexp_extract(base_name, '([0-9]+)', 1)::BIGINT AS episode_index, arg_min(task_description, (coalesce(start_second, -1), line_id)) AS d FROM annotation_lines
-            WHERE error IS NULL AND task_description IS NOT NULL AND regexp_full_match(base_name, 'episode_[0-9]+') GROUP BY 1)
+    "annotation_update": rf"""WITH {_EPISODES}, c AS (SELECT lower(trim(regexp_replace(regexp_replace(trim(base_name, ' ' || chr(9) || chr(10)), '^.*[/\\]', ''), '(.)\.[A-Za-z0-9]{{1,5}}$', '\1'))) AS clip, start_second, line_id, task_description FROM annotation_lines
+            WHERE error IS NULL AND task_description IS NOT NULL),
+        n AS (SELECT try_cast(regexp_extract(clip, '^episode_([0-9]+)$', 1) AS BIGINT) AS episode_index, arg_min(task_description, (coalesce(start_second, -1), line_id)) AS d FROM c GROUP BY 1)
         SELECT episode_index, CASE WHEN d IS NOT NULL THEN [d] ELSE tasks END AS tasks FROM eps LEFT JOIN n USING (episode_index)""",
     "annotation_append_offset": """SELECT task_index, task FROM tasks UNION ALL
         SELECT (SELECT max(task_index) FROM tasks) + row_number() OVER (ORDER BY task) AS task_index, task FROM (SELECT DISTINCT object_name AS task FROM grasp_records WHERE object_name IS NOT NULL)""",

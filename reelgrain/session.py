@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,23 +25,37 @@ def build_session(app: str = "reelgrain", cpus: str | int = "*", **conf: str) ->
     return SparkSession.builder.appName(app).master(f"local[{cpus}]").config(map=settings).getOrCreate()
 
 
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the driver's file system delete a folder when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests, a temporary folder of this machine is taken.
+    Where that is unset a temporary folder is taken, if driver and executors are one machine, as in
+    tests; elsewhere it is an error. What is written there is deleted when the application ends.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    current = context.getCheckpointDir()
     if named is None and current is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="reelgrain-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if current is None:
-        spark.sparkContext.setCheckpointDir(named)
+        context.setCheckpointDir(named)
+        _drop_at_exit(spark, context.getCheckpointDir())  # a folder below the named one, of this application alone
     return named or current
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other call uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other call uses; it is deleted when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _drop_at_exit(spark, path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
