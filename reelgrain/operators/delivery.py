@@ -1,23 +1,25 @@
 """At-least-once deliveries: keep one line of each message.
 
-The store is a folder of runs. Every run holds, for a slice of the deliveries, one row per message
-identifier, hashed into buckets and sorted inside each of them. Compaction reads the runs bucket by
-bucket and lets equal identifiers collapse to the line that was delivered first. Writing the same
-slice again replaces its run, so an upsert may be repeated after a failure without any effect.
+The store is a bucketed table of runs. A run holds, for a named slice of the deliveries, one row per
+message identifier, hashed into buckets and sorted inside each of them. Compaction reads bucket by
+bucket, without a shuffle, merges the buckets' sorted runs and lets equal identifiers collapse to the
+line that was delivered first. Writing a run again replaces the whole of it, so an upsert may be
+repeated after a failure without any effect.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from reelgrain.session import scratch_path
 
+from reelgrain.session import file_system, scratch_path
 
 BUCKET_ROWS = 2_000_000
+_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def clip_key(name: Column) -> Column:
@@ -28,44 +30,67 @@ def clip_key(name: Column) -> Column:
     return F.lower(F.regexp_replace(bare, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
 
 
+@contextmanager
+def _replacing_runs(spark: SparkSession) -> Iterator[None]:
+    """Overwriting replaces the partitions that are written, and no others."""
+    before = spark.conf.get(_MODE, None)
+    spark.conf.set(_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_MODE) if before is None else spark.conf.set(_MODE, before)
+
+
 class RunStore:
-    """Hash-bucketed, sorted runs of (identifier, order, payload) rows under one folder."""
+    """Hash-bucketed, sorted runs of (identifier, order) rows under one folder.
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: str, buckets: int = 16) -> None:
-        self.spark, self.path, self.keys, self.order, self.buckets = spark, path, list(keys), order, buckets
-        self.schema: StructType | None = None
+    ``kinds``: the SQL types of the keys and the order, by name. A store that is opened again must be
+    given the same keys, order and number of buckets.
+    """
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: str, kinds: dict[str, str], buckets: int = 16) -> None:
+        self.spark, self.path, self.keys, self.order, self.buckets = spark, path, list(keys), order, buckets
+        self.table = f"runs_{uuid.uuid4().hex}"
+        columns = ", ".join(f"`{c}` {kinds[c]}" for c in [*self.keys, order])
+        names = ", ".join(f"`{k}`" for k in self.keys)
+        files, where = file_system(spark, path)
+        files.mkdirs(where)
+        spark.sql(
+            f"CREATE TABLE {self.table} ({columns}, _run string) USING parquet PARTITIONED BY (_run) CLUSTERED BY ({names}) SORTED BY ({names}, `{order}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        spark.sql(f"MSCK REPAIR TABLE {self.table}")
 
-    def upsert(self, rows: DataFrame, run: Column | None = None) -> None:
-        """Write the rows as runs named by ``run`` (one run, if it isn't given).
+    def upsert(self, rows: DataFrame, run: str | Column) -> None:
+        """Write the rows as the run named ``run``, or, by a column, as several runs at once.
 
-        Equal identifiers are folded before the shuffle, so a message that was delivered any number
-        of times costs one row per task. Rows with a null in the identifier are not stored.
+        A run is replaced as a whole: it must be sent with all of its rows, and other deliveries need
+        another name. Equal identifiers are folded before the shuffle, so a message that was delivered
+        any number of times costs one row per task. Rows with a null in the identifier are not stored.
         """
-        first = F.min(self.order).alias(self.order)
-        rows = rows.dropna(subset=self.keys).withColumn("_run", (run if run is not None else F.lit(0)).cast("string"))
-        folded = rows.groupBy("_run", *self.keys).agg(first).withColumn("_bucket", self._bucket())
-        self.schema = folded.schema
-        (
-            folded.repartition("_run", "_bucket")
-            .sortWithinPartitions("_run", "_bucket", *self.keys, self.order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_run", "_bucket")
-            .parquet(self.path)
-        )
+        if run is None:
+            raise ValueError("a run needs a name")
+        named = F.lit(run) if isinstance(run, str) else run.cast("string")
+        rows = rows.dropna(subset=self.keys).withColumn("_run", named)
+        folded = rows.groupBy("_run", *self.keys).agg(F.min(self.order).alias(self.order))
+        # Spark's own bucket of a row is its partition here, so each task writes one file per run.
+        placed = folded.repartition(self.buckets, *self.keys).select(*self.keys, self.order, "_run")
+        if isinstance(run, str) and not rows.take(1):
+            quoted = run.replace("\\", "\\\\").replace("'", "\\'")
+            files, where = file_system(self.spark, f"{self.path}/_run={run}")
+            files.delete(where, True)
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (_run = '{quoted}')")
+            return
+        with _replacing_runs(self.spark):
+            placed.write.insertInto(self.table, overwrite=True)
 
     def compact(self) -> DataFrame:
-        """One row per identifier: that with the smallest order of all runs."""
-        reader = self.spark.read
-        if self.schema is not None:  # a store of no rows has no file that tells its columns
-            reader = reader.schema(self.schema)
-        runs = reader.parquet(self.path)
-        merged = runs.repartition("_bucket").sortWithinPartitions("_bucket", *self.keys, self.order)
-        place = F.row_number().over(Window.partitionBy("_bucket", *self.keys).orderBy(self.order))
-        return merged.withColumn("_place", place).filter("_place = 1").select(*self.keys, self.order)
+        """One row per identifier: that with the smallest order of all runs.
+
+        All files of a bucket are read by one task. They are sorted runs, which Spark's sort finds and
+        merges; the first row of each identifier stays.
+        """
+        place = F.row_number().over(Window.partitionBy(*self.keys).orderBy(self.order))
+        return self.spark.table(self.table).select(*self.keys, self.order).withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def surplus_deliveries(lines: DataFrame, *, runs: int = 4, buckets: int | None = None) -> DataFrame:
@@ -75,13 +100,15 @@ def surplus_deliveries(lines: DataFrame, *, runs: int = 4, buckets: int | None =
     either, or without ``line_id``, belong to no message and are never surplus; repeated rows count
     once; an empty table gives an empty result; further columns are ignored. A name that is blank
     apart from folder and extension is a name like others. Unless a number of ``buckets`` is given,
-    each holds about ``BUCKET_ROWS`` deliveries, with 16 at least.
+    each holds about ``BUCKET_ROWS`` deliveries, with 16 at least. The table is stored as ``runs`` slices of
+    its batches, all of which are written at once.
     """
     spark = lines.sparkSession
     buckets = buckets or max(16, -(-lines.count() // BUCKET_ROWS))
     messages = lines.filter("line_id is not null").select("line_id", "batch_id", "start_second", clip_key(F.col("base_name")).alias("clip"))
-    store = RunStore(spark, scratch_path(spark, "deliveries"), ["clip", "start_second"], "line_id", buckets)
-    store.upsert(messages, F.pmod(F.coalesce("batch_id", F.lit(0)), F.lit(runs)))
+    kinds = {c: messages.schema[c].dataType.simpleString() for c in ("clip", "start_second", "line_id")}
+    store = RunStore(spark, scratch_path(spark, "deliveries"), ["clip", "start_second"], "line_id", kinds, buckets)
+    store.upsert(messages, F.concat(F.lit("slice-"), F.pmod(F.coalesce("batch_id", F.lit(0)), F.lit(runs))))
     kept = store.compact().select("line_id")
     known = messages.filter("clip is not null and start_second is not null").select("line_id").distinct()
     return known.join(kept, "line_id", "left_anti")

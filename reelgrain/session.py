@@ -25,10 +25,16 @@ def build_session(app: str = "reelgrain", cpus: str | int = "*", **conf: str) ->
     return SparkSession.builder.appName(app).master(f"local[{cpus}]").config(map=settings).getOrCreate()
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system that holds a path, and the path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def _drop_at_exit(spark: SparkSession, path: str) -> None:
     """Let the driver's file system delete a folder when the application ends."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    files, where = file_system(spark, path)
+    files.deleteOnExit(where)
 
 
 def shared_dir(spark: SparkSession) -> str:

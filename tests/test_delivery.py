@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from reelgrain.operators.delivery import RunStore, clip_key, deduplicated_lines, surplus_deliveries
@@ -40,11 +41,53 @@ def test_hot_message(spark):
     assert found.count() == 9_999 and found.agg(F.min("line_id")).first()[0] == 3
 
 
+KINDS = {"k": "string", "n": "bigint"}
+
+
+def pairs(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, n bigint")
+
+
+def held(store):
+    return sorted(map(tuple, store.compact().collect()))
+
+
 def test_upsert_twice_changes_nothing(spark):
     path = scratch_path(spark, "store")
-    store = RunStore(spark, path, ["k"], "n", 4)
-    rows = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2), (None, 0)], "k string, n bigint")
-    store.upsert(rows, F.lit(1))
-    store.upsert(rows, F.lit(1))
-    store.upsert(spark.createDataFrame([("a", 2), ("c", 9)], "k string, n bigint"), F.lit(2))
-    assert sorted(map(tuple, store.compact().collect())) == [("a", 1), ("b", 2), ("c", 9)]
+    store = RunStore(spark, path, ["k"], "n", KINDS, 4)
+    rows = pairs(spark, ("a", 3), ("a", 1), ("b", 2), (None, 0))
+    store.upsert(rows, "1")
+    store.upsert(rows, "1")
+    store.upsert(pairs(spark, ("a", 2), ("c", 9)), "2")
+    assert held(store) == [("a", 1), ("b", 2), ("c", 9)]
+    assert held(RunStore(spark, path, ["k"], "n", KINDS, 4)) == held(store)
+
+
+def test_later_batches_keep_earlier_ones(spark):
+    store = RunStore(spark, scratch_path(spark, "store"), ["k"], "n", KINDS, 4)
+    store.upsert(pairs(spark, ("a", 1), ("b", 2)), "batch-1")
+    store.upsert(pairs(spark, ("a", 8), ("b", 7), ("c", 9)), "batch-5")
+    assert held(store) == [("a", 1), ("b", 2), ("c", 9)]
+
+
+def test_a_run_sent_again_with_fewer_rows_replaces_all_of_it(spark):
+    store = RunStore(spark, scratch_path(spark, "store"), ["k"], "n", KINDS, 4)
+    store.upsert(spark.range(100).selectExpr("cast(id as string) as k", "id as n"), "x")
+    store.upsert(pairs(spark, ("7", 7)), "x")
+    assert held(store) == [("7", 7)]
+    store.upsert(pairs(spark), "x")
+    assert held(store) == []
+
+
+def test_a_run_needs_a_name(spark):
+    store = RunStore(spark, scratch_path(spark, "store"), ["k"], "n", KINDS, 4)
+    with pytest.raises(ValueError, match="name"):
+        store.upsert(pairs(spark, ("a", 1)), None)
+
+
+def test_compaction_reads_buckets_without_a_shuffle(spark):
+    store = RunStore(spark, scratch_path(spark, "store"), ["k"], "n", KINDS, 4)
+    store.upsert(pairs(spark, ("a", 1), ("b", 2)), "1")
+    store.upsert(pairs(spark, ("a", 0)), "2")
+    plan = store.compact()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
