@@ -3,17 +3,19 @@
 Two passes over the frames, grouped by episode. The first yields compact statistics of every
 channel's frame-to-frame moves, which are merged per rig and channel. The second knows them and
 judges the readings by the episode's own neighbourhood (a Hampel filter: departure from the rolling
-median of seven frames) and by what is normal on the whole rig, never by the frames that a task
-happens to hold. Only the statistics and the cases leave the passes; frames are shuffled in each.
+median of seven frames against the median absolute deviation around it) and by what is normal on the
+whole rig, never by the frames that a task happens to hold. Deviations are taken from the course, the
+rolling median, so that a steady move is none. Only the statistics and the cases leave the passes;
+frames are shuffled in each.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +31,17 @@ BLOCK, HALO = 4096, 8
 PER_OCTAVE, LOWEST, BINS = 8, -40, 8 * 72
 #: Moves to and from a reading that departs by so many times the median move of its neighbourhood don't count as usual ones.
 CANDIDATE = 4.0
+#: A median absolute deviation times this estimates a standard deviation.
+NORMAL = 1.4826
 OUT, STUCK, SPIKE = 0, 1, 2
 STATS_SCHEMA = "source string, field int, payload binary"
 SCHEMA = "kind int, field int, index bigint, dim int, departure float, top_move double"
-#: Rigs are a small catalogue whose limits and usual moves every task needs.
+#: Rigs are a small catalogue whose limits and usual moves every task needs; more are gone through in slices.
 MAX_RIGS = 20_000
 
 
 def _limits(rigs: DataFrame) -> dict[str, list[np.ndarray]]:
-    rows = rigs.select("source", "state_low", "state_high", "action_low", "action_high").limit(MAX_RIGS + 1).collect()
-    if len(rows) > MAX_RIGS:
-        raise ValueError(f"more than {MAX_RIGS} rigs; their limits can't be sent to every task")
+    rows = rigs.select("source", "state_low", "state_high", "action_low", "action_high").collect()
     low = lambda v: np.array([-np.inf if x is None else x for x in v or []], np.float32)
     high = lambda v: np.array([np.inf if x is None else x for x in v or []], np.float32)
     return {r[0]: [low(r[1]), high(r[2]), low(r[3]), high(r[4])] for r in rows if r[0] is not None}
@@ -89,7 +91,12 @@ def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.
     window = filled[near]
     step = np.median(np.diff(window, axis=0), axis=0)
     course[ends] = np.median(window - step * (near - ends)[:, :, None], axis=0)
-    departure = np.where(good, np.abs(filled - course), np.float32(0))
+    residual = np.abs(filled - course)
+    departure = np.where(good, residual, np.float32(0))
+    # The median absolute deviation of the window: excursions of up to three of its seven frames don't raise it.
+    # On a slope they bend the course of the frames after them, so of the windows around, behind and ahead the calmest counts.
+    spread = median_of_seven([residual[np.minimum(first + k, end)] for k in range(7)]) * np.float32(NORMAL)
+    spread = np.minimum(spread, np.minimum(spread[np.maximum(at - 3, segment)], spread[np.minimum(at + 3, end)]))
 
     pair = np.zeros((n, width), bool)
     pair[1:] = linked[1:, None] & good[1:] & good[:-1]
@@ -113,7 +120,7 @@ def examine(x: np.ndarray, present: np.ndarray, segment: np.ndarray, linked: np.
     bins[calm] = np.clip(np.floor(np.log2(move[calm]) * PER_OCTAVE) - LOWEST * PER_OCTAVE, 0, BINS - 1)
     bins += np.arange(width, dtype=np.int32) * BINS
     counts = [np.bincount(bins[m], minlength=width * BINS).reshape(width, BINS) for m in (free, calm)]
-    return {"out": out, "long": long, "departure": departure, "pairs": pairs, "held": held, "counts": counts}
+    return {"out": out, "long": long, "departure": departure, "spread": spread, "pairs": pairs, "held": held, "counts": counts}
 
 
 class Moves:
@@ -139,11 +146,11 @@ def _normal(stats: DataFrame) -> dict[tuple[str | None, int], tuple[np.ndarray,
     """By rig and field: which channels normally move, and their top moves."""
     rows = stats.limit(2 * MAX_RIGS + 1).collect()
     if len(rows) > 2 * MAX_RIGS:
-        raise ValueError(f"more than {MAX_RIGS} rigs; their usual moves can't be sent to every task")
+        raise ValueError(f"frames of more than {MAX_RIGS} rigs at once; give more slices")
     return {(r["source"], r["field"]): (np.array(r["moving"], bool), np.array(r["top_move"], np.float64)) for r in rows}
 
 
-def _pass(limits: dict[str, list[np.ndarray]], min_run: int, normal: dict | None = None, spike_factor: float = 0.0):
+def _pass(limits: dict[str, list[np.ndarray]], min_run: int, normal: dict | None = None, spike_factor: float = 0.0, deviations: float = 0.0):
     """The pass that yields statistics, or, where what is ``normal`` is known, the one that yields cases."""
 
     def batch(kind: int, field: int, index: np.ndarray, dim: np.ndarray, departure: np.ndarray, top: np.ndarray) -> pa.RecordBatch:
@@ -178,7 +185,7 @@ def _pass(limits: dict[str, list[np.ndarray]], min_run: int, normal: dict | None
                 moves.setdefault((source, field), Moves(0)).add(np.hstack([found["pairs"][:, None], found["held"][:, None], *found["counts"]]))
                 continue
             moving, top = (v[:width] for v in normal[source, field])
-            cases = ((OUT, found["out"]), (STUCK, found["long"] & moving), (SPIKE, found["departure"] > spike_factor * top))
+            cases = ((OUT, found["out"]), (STUCK, found["long"] & moving), (SPIKE, (found["departure"] > spike_factor * top) & (found["departure"] > deviations * found["spread"])))
             for kind, case in cases:
                 at, dim = np.nonzero(case & own[:, None])
                 if len(at):
@@ -217,13 +224,35 @@ def _pass(limits: dict[str, list[np.ndarray]], min_run: int, normal: dict | None
     return run
 
 
-def _merge_moves(pdf: pd.DataFrame, quantile: float, held_share: float) -> pd.DataFrame:
-    """What is normal for each channel of one field on one rig."""
-    total = Moves(0)
-    for data in pdf["payload"]:
-        total.add(Moves.unpack(data))
+def _merged_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Statistics sorted by rig and field -> one row of each; only one sum is held at a time."""
+    key, total = None, Moves(0)
+
+    def closed() -> Iterator[pa.RecordBatch]:
+        if key is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.string()), pa.array([key[1]], pa.int32()), pa.array([total.pack()], pa.binary())], names=["source", "field", "payload"])
+
+    for batch in batches:
+        for source, field, payload in zip(*(batch.column(c).to_pylist() for c in ("source", "field", "payload"))):
+            if (source, field) != key:
+                yield from closed()
+                key, total = (source, field), Moves(0)
+            total.add(Moves.unpack(payload))
+    yield from closed()
+
+
+def _summed(stats: DataFrame, salts: int = 16) -> DataFrame:
+    """One row per rig and field, in two steps: the statistics of all tasks are as many as tasks times rigs."""
+    rows = stats.withColumn("_salt", F.pmod(F.xxhash64("payload"), F.lit(salts)))
+    for keys in (["source", "field", "_salt"], ["source", "field"]):
+        rows = rows.repartition(*keys).sortWithinPartitions("source", "field").select("source", "field", "payload").mapInArrow(_merged_moves, STATS_SCHEMA)
+    return rows
+
+
+def _usual(table: np.ndarray, quantile: float, held_share: float) -> tuple[list[bool], list[float]]:
+    """Which channels normally move, and their top moves, by the statistics of one field on one rig."""
     movings, tops = [], []
-    for row in total.table:
+    for row in table:
         pairs, held = row[:2]
         moving = bool(pairs > 0 and held < held_share * pairs)
         counts = row[2 : 2 + BINS] if moving and row[2 : 2 + BINS].any() else row[2 + BINS :]
@@ -234,7 +263,17 @@ def _merge_moves(pdf: pd.DataFrame, quantile: float, held_share: float) -> pd.Da
             top = float(2.0 ** ((k + 1) / PER_OCTAVE + LOWEST))
         movings.append(moving)
         tops.append(top)
-    return pd.DataFrame({"source": [pdf["source"].iloc[0]], "field": [pdf["field"].iloc[0]], "moving": [movings], "top_move": [tops]})
+    return movings, tops
+
+
+def _judged(quantile: float, held_share: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_usual(Moves.unpack(p), quantile, held_share) for p in batch.column("payload").to_pylist()]
+            columns = [batch.column("source"), batch.column("field"), pa.array([m for m, _ in found], pa.list_(pa.bool_())), pa.array([t for _, t in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["source", "field", "moving", "top_move"])
+
+    return run
 
 
 def implausible_readings(
@@ -243,25 +282,35 @@ def implausible_readings(
     *,
     min_run: int = 8,
     spike_factor: float = 2.8,
+    deviations: float = 3.0,
     quantile: float = 0.999,
     held_share: float = 0.35,
+    slices: int = 0,
 ) -> DataFrame:
     """Every implausible reading with its reason: ``index``, ``field_name``, ``dim``, ``reason``.
 
     Reasons: ``limit`` (not finite, or outside the rig's limits), ``stuck`` (one of at least
     ``min_run`` successive frames with exactly equal readings, on a channel of which less than
     ``held_share`` of the readings equal their predecessor on that rig), ``spike`` (departs from the
-    rolling median of seven frames by more than ``spike_factor`` times the ``quantile`` of the
-    channel's moves on that rig; the median follows a switch that stays and leaves excursions of up
+    rolling median of seven frames by more than ``deviations`` times the scaled median absolute
+    deviation of these frames from their course, and by more than ``spike_factor`` times the
+    ``quantile`` of the channel's moves on that rig; the median follows a switch that stays and leaves excursions of up
     to three frames; at an episode's ends it is carried on by the usual step).
 
     Repeated rows (equal ``index``) count once. Null vectors, null elements and positions beyond a
     vector's end hold no reading. Frames without ``episode_index`` or ``frame_index`` have no
     neighbours and are judged by the limits alone; a rig that ``rigs`` doesn't hold has no limits, and
-    frames without ``source`` form a rig of their own. Rows without ``index`` are left out. Empty
+    frames without ``source`` form a rig of their own. More than ``MAX_RIGS`` rigs are gone through in
+    ``slices`` by a hash of the source, each of which reads the frames of its rigs (0: as many as ``rigs``
+    needs); a rig is judged by its own frames alone, so the result is the same. Rows without ``index`` are left out. Empty
     tables give an empty result; further columns are ignored.
     """
     spark = frames.sparkSession
+    slices = slices or max(1, -(-rigs.count() // (MAX_RIGS // 2)))
+    if slices > 1:
+        mine = lambda df, i: df.filter(F.pmod(F.xxhash64("source"), F.lit(slices)) == i)
+        each = (implausible_readings(mine(frames, i), mine(rigs, i), min_run=min_run, spike_factor=spike_factor, deviations=deviations, quantile=quantile, held_share=held_share, slices=1) for i in range(slices))
+        return reduce(DataFrame.unionByName, each)
     lone = F.col("episode_index").isNull() | F.col("frame_index").isNull()
     at = F.expr(f"frame_index div {BLOCK}")
     near = F.array(at - 1, at, at + 1)
@@ -276,8 +325,8 @@ def implausible_readings(
     sorted_rows = rows.repartition(shuffle_partitions(spark), "episode_index", "block").sortWithinPartitions("source", "episode_index", "block", "frame_index", "index")
     known = _limits(rigs)
     stats = sorted_rows.mapInArrow(_pass(known, min_run), STATS_SCHEMA)
-    normal = _normal(stats.groupBy("source", "field").applyInPandas(lambda pdf: _merge_moves(pdf, quantile, held_share), "source string, field int, moving array<boolean>, top_move array<double>"))
-    found = sorted_rows.mapInArrow(_pass(known, min_run, normal, spike_factor), SCHEMA)
+    normal = _normal(_summed(stats).mapInArrow(_judged(quantile, held_share), "source string, field int, moving array<boolean>, top_move array<double>"))
+    found = sorted_rows.mapInArrow(_pass(known, min_run, normal, spike_factor, deviations), SCHEMA)
     field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1])
     reason = F.element_at(F.array(F.lit("limit"), F.lit("stuck"), F.lit("spike")), F.col("kind") + 1)
     return found.select("index", field.alias("field_name"), "dim", reason.alias("reason"), "departure", "top_move")

@@ -148,3 +148,22 @@ def test_rates_over_whole_table(spark):
     rows = frames.join(limits, "source").select("index", F.posexplode("action").alias("dim", "x"), "action_low", "action_high")
     bad = rows.filter("isnan(x) or abs(x) = float('inf') or x < action_low[dim] or x > action_high[dim]").select("index", "dim").distinct()
     assert got == {tuple(r) for r in bad.collect()}
+
+
+def test_slices_of_rigs_give_the_same(spark):
+    state, action = recording(600)
+    state[100, 0] += 1.5
+    rows = frame_rows(state, action) + frame_rows(state, action, 1, "q", 10_000) + frame_rows(state, action, 2, None, 20_000)
+    assert found(spark, rows, slices=3) == found(spark, rows) != set()
+
+
+def test_deviations_are_held_against_their_own_window():
+    """Where a stretch is as wild as its departures they are none, however small the rig's moves."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (60, 1)).astype(np.float32)
+    at = np.arange(60)
+    one = spikes.examine(x, np.ones_like(x, bool), np.zeros(60, int), at > 0, np.full(1, -99, np.float32), np.full(1, 99, np.float32), 8)
+    x[30] += 50
+    two = spikes.examine(x, np.ones_like(x, bool), np.zeros(60, int), at > 0, np.full(1, -99, np.float32), np.full(1, 99, np.float32), 8)
+    assert one["spread"].mean() > 0.2 and two["departure"][30] > 20 * two["spread"][30]
+    assert np.flatnonzero(two["departure"][:, 0] > 12 * two["spread"][:, 0] + 5).tolist() == [30]
