@@ -3,15 +3,21 @@
 The sketch is a relative-rank compactor: each level is a buffer of which the half next to the
 protected tail is never touched, while of the other half more or fewer sections are compacted, every
 other item moving up to a level of twice the weight. The rank of an item at distance R from the
-protected tail is then off by at most a small share of R. Each channel has one sketch for the low
-tail and one for the high tail (the same on negated values). Sketches of partitions, days and
-rigs are merged level by level.
+protected tail is then off by at most a small share of R. A level gets one more section whenever the
+number of its compactions doubles, so that the share doesn't grow with the number of readings. Each
+channel has one sketch for the low tail and one for the high tail (the same on negated values).
+Sketches of partitions, days and rigs are merged level by level.
+
+Frames are shuffled once, to slices of their source. A slice holds whole days; only a day that is
+larger than a slice is cut. Its task sketches each day and, of the days' sketches, the slice, so that
+sources and robot types are merged from one sketch a slice.
 """
 
 from __future__ import annotations
 
 import struct
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,10 +29,16 @@ from reelgrain.functions.vectors import list_matrix
 from reelgrain.session import materialize, shuffle_partitions
 
 FIELDS = ("observation.state", "action")
-#: Items of a section and sections of the compactable half: a level holds up to 2 * SECTION * SECTIONS items.
+#: Items of a section, and sections of the compactable half at the start: a level of few compactions holds up
+#: to 2 * SECTION * SECTIONS items.
 SECTION, SECTIONS = 32, 6
+#: Frames of a slice.
+SLICE = 200_000
+#: Slices whose sketches are merged in one step.
+FAN = 256
 #: Stated bound: the rank of a percentile q is off by at most this share of min(q, 1 - q) * n; up to
-#: 2 * SECTION * SECTIONS readings it is exact. Measured errors are below a quarter of it.
+#: 2 * SECTION * SECTIONS readings it is exact. Measured errors are below a quarter of it, whatever the
+#: order of the readings and the number of sketches merged (tests hold them against it).
 RANK_ERROR = 0.01
 PERCENTILES = (0.01, 0.25, 0.5, 0.75, 0.9, 0.99)
 
@@ -47,12 +59,13 @@ class TailSketch:
 
     def compress(self) -> None:
         """Compact every level that holds more than its capacity, from the lowest up."""
-        capacity, level = 2 * SECTION * SECTIONS, 0
+        level = 0
         while level < len(self.levels):
-            rows = self.levels[level]
+            rows, turn = self.levels[level], self.turns[level]
+            room = max(SECTIONS, turn.bit_length() + 1)
+            capacity = 2 * SECTION * room
             if len(rows) > capacity:
-                turn = self.turns[level]
-                sections = min(SECTIONS, (~turn & (turn + 1)).bit_length())
+                sections = min(room, (~turn & (turn + 1)).bit_length())
                 keep = capacity - sections * SECTION
                 keep += (len(rows) - keep) % 2
                 rows = np.sort(rows, axis=0)
@@ -144,107 +157,195 @@ def percentiles(sketch: bytes, wanted: Sequence[float] = PERCENTILES) -> tuple[n
     return n, out
 
 
-def _sketch_rows(by: Sequence[str]):
-    """Rows sorted by group and index -> one row per group and field with the sketches of its channels."""
+def _groups(batches: Iterator[pa.RecordBatch], by: Sequence[str]) -> Iterator[tuple[tuple, dict[int, bytes]]]:
+    """Rows sorted by group and index -> each group with the sketches of its fields."""
+    group: tuple | None = None
+    last: int | None = None
+    held: dict[int, list] = {}
+
+    def closed() -> dict[int, bytes]:
+        for n, *tails in held.values():
+            for tail in tails:
+                tail.compress()
+        out = {field: pack(n, tails) for field, (n, *tails) in held.items()}
+        held.clear()
+        return out
+
+    for batch in batches:
+        keys = [batch.column(b) for b in by]
+        index = batch.column("index").to_numpy(zero_copy_only=False)
+        frame = pd.DataFrame({i: k.to_pandas() for i, k in enumerate(keys)})
+        shifted = frame.shift()
+        new = ~((frame == shifted) | (frame.isna() & shifted.isna())).all(axis=1).to_numpy()
+        new[0] = True
+        again = np.zeros(len(index), bool)
+        again[1:] = (index[1:] == index[:-1]) & ~new[1:]
+        edges = [*np.flatnonzero(new), len(index)]
+        for a, b in zip(edges, edges[1:]):
+            key = tuple(k[int(a)].as_py() for k in keys)
+            if key != group:
+                if group is not None:
+                    yield group, closed()
+                group, last = key, None
+            keep = ~again[a:b]
+            keep[0] = keep[0] and index[a] != last
+            last = index[b - 1]
+            for field in range(2):
+                x, present = list_matrix(batch.column(f"vector{field}").slice(a, b - a))
+                x, present = x[keep], present[keep]
+                if not x.size:
+                    continue
+                x = np.where(present & np.isfinite(x), x, np.float32("nan"))
+                own = held.get(field)
+                if own is None:
+                    own = held[field] = [np.zeros(x.shape[1], np.int64), TailSketch(x.shape[1], 1), TailSketch(x.shape[1], 2)]
+                if x.shape[1] < len(own[0]):
+                    x = np.pad(x, ((0, 0), (0, len(own[0]) - x.shape[1])), constant_values=np.nan)
+                elif x.shape[1] > len(own[0]):
+                    own[0] = _widen(own[0], own[1:], x.shape[1])
+                own[0] += (~np.isnan(x)).sum(axis=0)
+                for tail, sign in zip(own[1:], (1, -1)):
+                    tail.add(x if sign > 0 else -x)
+                    tail.compress()
+    if group is not None:
+        yield group, closed()
+
+
+class _Sum:
+    """Sketches that come one after the other, merged so many at a time."""
+
+    def __init__(self, at_once: int = 32) -> None:
+        self.at_once, self.held = at_once, []
+
+    def add(self, sketch: bytes) -> None:
+        self.held.append(sketch)
+        if len(self.held) >= self.at_once:
+            self.held = [merge(self.held)]
+
+    def close(self) -> bytes:
+        out = merge(self.held)
+        self.held = []
+        return out
+
+
+_KEYS = "n array<bigint>, " + ", ".join(f"p{round(100 * q):02d} array<double>" for q in PERCENTILES)
+_ANSWER_TYPES = [pa.list_(pa.int64()), *[pa.list_(pa.float64())] * len(PERCENTILES)]
+_NAMES = ["n", *(f"p{round(100 * q):02d}" for q in PERCENTILES)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: tuple | None = None
-        last: tuple | None = None
-        sketches: dict[int, list] = {}
 
-        def close() -> Iterator[pa.RecordBatch]:
-            if sketches:
-                for n, *tails in sketches.values():
-                    for tail in tails:
-                        tail.compress()
-                keys = [pa.array([k] * len(sketches), pa.string()) for k in group or ()]
-                columns = [*keys, pa.array(list(sketches), pa.int32()), pa.array([pack(n, tails) for n, *tails in sketches.values()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*by, "field", "sketch"])
-                sketches.clear()
+def _kinds(by: Sequence[str]) -> str:
+    return "".join(f"{b} string, " for b in by)
 
-        for batch in batches:
-            keys = [batch.column(b) for b in by]
-            index = batch.column("index").to_numpy(zero_copy_only=False)
-            frame = pd.DataFrame({i: k.to_pandas() for i, k in enumerate(keys)})
-            shifted = frame.shift()
-            new = ~((frame == shifted) | (frame.isna() & shifted.isna())).all(axis=1).to_numpy()
-            new[0] = True
-            again = np.zeros(len(index), bool)
-            again[1:] = (index[1:] == index[:-1]) & ~new[1:]
-            edges = [*np.flatnonzero(new), len(index)]
-            for a, b in zip(edges, edges[1:]):
-                key = tuple(k[int(a)].as_py() for k in keys)
-                if key != group:
-                    yield from close()
-                    group, last = key, None
-                keep = ~again[a:b]
-                keep[0] = keep[0] and index[a] != last
-                last = index[b - 1]
-                for field in range(2):
-                    x, present = list_matrix(batch.column(f"vector{field}").slice(a, b - a))
-                    x, present = x[keep], present[keep]
-                    if not x.size:
-                        continue
-                    x = np.where(present & np.isfinite(x), x, np.float32("nan"))
-                    held = sketches.get(field)
-                    if held is None:
-                        held = sketches[field] = [np.zeros(x.shape[1], np.int64), TailSketch(x.shape[1], 1), TailSketch(x.shape[1], 2)]
-                    if x.shape[1] < len(held[0]):
-                        x = np.pad(x, ((0, 0), (0, len(held[0]) - x.shape[1])), constant_values=np.nan)
-                    elif x.shape[1] > len(held[0]):
-                        held[0] = _widen(held[0], held[1:], x.shape[1])
-                    held[0] += (~np.isnan(x)).sum(axis=0)
-                    for tail, sign in zip(held[1:], (1, -1)):
-                        tail.add(x if sign > 0 else -x)
-                        tail.compress()
-        yield from close()
 
-    return run
+def _answered(sketch: bytes) -> list:
+    n, found = percentiles(sketch)
+    return [n, *(found[:, k] for k in range(len(PERCENTILES)))]
 
 
-def _kinds(by: Sequence[str]) -> str:
-    return "".join(f"{b} string, " for b in by)
+def _batch(by: Sequence[str], rows: Sequence[tuple]) -> pa.RecordBatch:
+    """Rows of key, field, sketch (or None) and answers (or None)."""
+    keys = [pa.array([r[0][i] for r in rows], pa.string()) for i in range(len(by))]
+    told = [pa.array([r[3][i] if r[3] is not None else None for r in rows], t) for i, t in enumerate(_ANSWER_TYPES)]
+    return pa.RecordBatch.from_arrays([*keys, pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), *told], names=[*by, "field", "sketch", *_NAMES])
 
 
-_ANSWERS = "n array<bigint>, " + ", ".join(f"p{round(100 * q):02d} array<double>" for q in PERCENTILES)
+def _fold(by: Sequence[str], answered: bool):
+    """Sketches sorted by group and field -> one of each, with its answers if they are wanted."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, total = None, _Sum()
 
-def _merged(sketches: DataFrame, by: Sequence[str], slices: int = 1) -> DataFrame:
-    """Sketches of one group and field become one, with ``slices`` first in so many parts of the group.
+        def closed() -> Iterator[pa.RecordBatch]:
+            if group is not None:
+                sketch = total.close()
+                yield _batch(by, [(group[:-1], group[-1], sketch, _answered(sketch) if answered else None)])
 
-    Beside the sketch stand its answers, so that none has to be moved again to be asked.
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*by, "field")]
+            for i, *key in zip(range(batch.num_rows), *columns):
+                if tuple(key) != group:
+                    yield from closed()
+                    group = tuple(key)
+                total.add(batch.column("sketch")[i].as_py())
+        yield from closed()
+
+    return run
+
+
+def _merged(sketches: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
+    """Sketches of one group and field become one, ``FAN`` neighbours by ``order`` (a number) first.
+
+    Beside the sketch stand its answers, so that none has to be moved again to be asked. Only one sum
+    and a few sketches are held at a time.
     """
+    rows = sketches.select(*by, "field", "sketch", order.cast("bigint").alias("_order"))
+    rows = rows.withColumn("_fan", F.expr(f"cast(_order div {FAN} as string)"))
+    rows = rows.repartition(*by, "field", "_fan").sortWithinPartitions(*by, "field", "_fan", "_order").select(*by, "_fan", "field", "sketch")
+    rows = rows.mapInArrow(_fold([*by, "_fan"], False), f"{_kinds([*by, '_fan'])}field int, sketch binary, {_KEYS}")
+    rows = rows.repartition(*by, "field").sortWithinPartitions(*by, "field", "_fan").select(*by, "field", "sketch")
+    return rows.mapInArrow(_fold(by, True), f"{_kinds(by)}field int, sketch binary, {_KEYS}")
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.iloc[:1].assign(sketch=[merge(list(pdf["sketch"]))])
 
-    def answered(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = fold(pdf)
-        n, found = percentiles(out["sketch"].iloc[0])
-        return out.assign(n=[n], **{f"p{round(100 * q):02d}": [found[:, k]] for k, q in enumerate(PERCENTILES)})
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by source, slice, day and index -> a sketch of each day, and one of each slice with no day.
 
-    rows = sketches
-    if slices > 1:
-        rows = rows.withColumn("_slice", F.pmod(F.xxhash64("sketch"), F.lit(slices)).cast("string"))
-        rows = rows.select(*by, "_slice", "field", "sketch").groupBy(*by, "_slice", "field").applyInPandas(fold, f"{_kinds(by)}_slice string, field int, sketch binary")
-    return rows.select(*by, "field", "sketch").groupBy(*by, "field").applyInPandas(answered, f"{_kinds(by)}field int, sketch binary, {_ANSWERS}")
+    Days that are whole in their slice come out as their answers.
+    """
+    at, totals = None, {}
+    by = ["scope", "source", "slice", "day"]
+
+    def closed() -> Iterator[pa.RecordBatch]:
+        if totals:
+            yield _batch(by, [(("slice", *at, None), field, total.close(), None) for field, total in totals.items()])
+            totals.clear()
+
+    for (source, part, day, whole), sketches in _groups(batches, ("source", "slice", "day", "whole")):
+        if (source, part) != at:
+            yield from closed()
+            at = (source, part)
+        rows = []
+        for field, sketch in sketches.items():
+            totals.setdefault(field, _Sum()).add(sketch)
+            rows.append((("day" if whole == "1" else "piece", source, part, day), field, None if whole == "1" else sketch, _answered(sketch) if whole == "1" else None))
+        if rows:
+            yield _batch(by, rows)
+    yield from closed()
+
+
+def _placed(frames: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Frames with the number of ``pieces`` that their group is cut into, and of ``slices`` of their first key."""
+    sizes = materialize(frames.groupBy(*by).agg(F.count("*").alias("_n")))
+    known = {b: f"_k{i}" for i, b in enumerate(by)}
+    same = lambda names: reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(k)) for n, k in names.items()))
+    firsts = sizes.groupBy(F.col(by[0]).alias("_f")).agg(F.ceil(F.sum("_n") / SLICE).alias("slices"))
+    groups = sizes.join(firsts, F.col(by[0]).eqNullSafe(F.col("_f"))).select(*(F.col(b).alias(k) for b, k in known.items()), F.ceil(F.col("_n") / SLICE).alias("pieces"), "slices")
+    if sizes.limit(MAX_DAYS_SENT + 1).count() <= MAX_DAYS_SENT:
+        groups = F.broadcast(groups)
+    return frames.join(groups, same(known)).drop(*known.values())
+
+
+def _vectors(frames: DataFrame, by: Sequence[str]) -> DataFrame:
+    return frames.filter("index is not null").select(*by, "index", F.col("`observation.state`").alias("vector0"), F.col("action").alias("vector1"))
 
 
 def channel_sketches(frames: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per group and field: ``by``, ``field``, ``sketch``, which holds all channels, and its answers.
 
-    ``by`` names string columns; null is a group of its own. Rows of one group are salted by their
-    index, so a group may hold any share of all rows. Repeated rows (equal ``index``) count once, rows
-    without index are left out, null vectors, null elements and non-finite readings are none; vectors
-    of one group may differ in length. An empty table gives an empty result.
+    ``by`` names string columns; null is a group of its own. A group of more than ``SLICE`` frames is
+    cut by their index, so a group may hold any share of all rows. Repeated rows (equal ``index``)
+    count once, rows without index are left out, null vectors, null elements and non-finite readings
+    are none; vectors of one group may differ in length. An empty table gives an empty result.
     """
-    n = shuffle_partitions(frames.sparkSession)
-    salts = max(4, n // 16)
-    rows = frames.filter("index is not null").select(*by, "index", F.col("`observation.state`").alias("vector0"), F.col("action").alias("vector1"))
-    salt = F.pmod(F.xxhash64("index"), F.lit(salts))
-    ordered = rows.repartition(n, *by, salt).sortWithinPartitions(*by, "index")
-    parts = ordered.mapInArrow(_sketch_rows(list(by)), f"{_kinds(by)}field int, sketch binary")
-    return _merged(parts, by)
+    rows = _placed(_vectors(frames, by), by).withColumn("_piece", F.pmod(F.xxhash64("index"), F.col("pieces")).cast("string"))
+    ordered = rows.select(*by, "_piece", "index", "vector0", "vector1").repartition(shuffle_partitions(frames.sparkSession), *by, "_piece").sortWithinPartitions(*by, "_piece", "index")
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, sketches in _groups(batches, [*by, "_piece"]):
+            if sketches:
+                yield _batch([*by, "_piece"], [(key, field, sketch, None) for field, sketch in sketches.items()])
+
+    parts = ordered.mapInArrow(sketched, f"{_kinds([*by, '_piece'])}field int, sketch binary, {_KEYS}")
+    return _merged(parts, by, F.col("_piece"))
 
 
 def answers(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -252,16 +353,13 @@ def answers(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
 
     ``rank_error`` is the stated bound, as a share of min(q, 1 - q) * n.
     """
-    names = ["n", *(f"p{round(100 * q):02d}" for q in PERCENTILES)]
-    rows = sketches.select(*by, "field", F.posexplode(F.arrays_zip(*names)).alias("dim", "a"))
+    rows = sketches.select(*by, "field", F.posexplode(F.arrays_zip(*_NAMES)).alias("dim", "a"))
     field = F.when(F.col("field") == 0, FIELDS[0]).otherwise(FIELDS[1]).alias("field_name")
-    known = [F.when(~F.isnan(f"a.{c}"), F.col(f"a.{c}")).alias(c) for c in names[1:]]
+    known = [F.when(~F.isnan(f"a.{c}"), F.col(f"a.{c}")).alias(c) for c in _NAMES[1:]]
     return rows.select(*by, field, "dim", "a.n", *known, F.lit(RANK_ERROR).alias("rank_error"))
 
 
-#: Daily sketches of a source that are merged at once; of more days, first in slices.
-DAYS_MERGED = 200
-#: So many episodes' days are sent to every task (about 20 MB); more are joined by a shuffle.
+#: So many episodes' days, or sizes of groups, are sent to every task (about 20 MB); more are joined by a shuffle.
 MAX_DAYS_SENT = 500_000
 
 
@@ -281,18 +379,23 @@ def daily_sketches(frames: DataFrame, episodes: DataFrame) -> DataFrame:
 def all_percentiles(frames: DataFrame, episodes: DataFrame, rigs: DataFrame) -> DataFrame:
     """Percentiles of every channel per source and day, per source, and per robot type.
 
-    The frames are read once, for the sketches of single days; those of sources are merged from
-    them, and those of robot types from these. ``scope`` names the level, ``name`` the source or robot
-    type, ``day`` the day, null in the wider scopes and where the episode's day is not known. Sources
-    that ``rigs`` doesn't hold have a null robot type. Channels without finite readings have n = 0 and
-    no percentiles. An empty table gives an empty result.
+    The frames are read once for their counts and once for the sketches of days and slices; those of
+    sources are merged from the slices, and those of robot types from these. ``scope`` names the
+    level, ``name`` the source or robot type, ``day`` the day, null in the wider scopes and where the
+    episode's day is not known. Sources that ``rigs`` doesn't hold have a null robot type. Channels
+    without finite readings have n = 0 and no percentiles. An empty table gives an empty result.
+    The answers depend on the rows alone, not on how they are partitioned.
     """
-    daily = materialize(daily_sketches(frames, episodes))
-    days = episodes.select(F.to_date("recorded_at")).distinct().count()
-    by_source = materialize(_merged(daily, ["source"], slices=-(-days // DAYS_MERGED)))
+    rows = _placed(_vectors(with_day(frames, episodes), ["source", "day"]), ["source", "day"])
+    place = F.pmod(F.xxhash64("day", F.pmod(F.xxhash64("index"), F.col("pieces"))), F.col("slices"))
+    rows = rows.select("source", place.cast("string").alias("slice"), "day", (F.col("pieces") == 1).cast("int").cast("string").alias("whole"), "index", "vector0", "vector1")
+    ordered = rows.repartition(shuffle_partitions(frames.sparkSession), "source", "slice").sortWithinPartitions("source", "slice", "day", "index")
+    found = materialize(ordered.mapInArrow(_sliced, f"{_kinds(['scope', 'source', 'slice', 'day'])}field int, sketch binary, {_KEYS}"))
+    cut = _merged(found.filter("scope = 'piece'"), ["source", "day"], F.col("slice"))
+    by_source = materialize(_merged(found.filter("scope = 'slice'"), ["source"], F.col("slice")))
     types = rigs.filter("source is not null").groupBy("source").agg(F.min("robot_type").alias("robot_type"))
-    by_type = _merged(by_source.join(types, "source", "left"), ["robot_type"], slices=16)
-    day = answers(daily, ["source", "day"]).withColumnRenamed("source", "name").withColumn("scope", F.lit("source_day"))
+    by_type = _merged(by_source.join(types, "source", "left"), ["robot_type"], F.pmod(F.xxhash64("source"), F.lit(FAN * FAN)))
+    day = answers(found.filter("scope = 'day'"), ["source", "day"]).unionByName(answers(cut, ["source", "day"])).withColumnRenamed("source", "name").withColumn("scope", F.lit("source_day"))
     source = answers(by_source, ["source"]).withColumnRenamed("source", "name").withColumn("scope", F.lit("source"))
     kind = answers(by_type, ["robot_type"]).withColumnRenamed("robot_type", "name").withColumn("scope", F.lit("robot_type"))
     return day.unionByName(source, allowMissingColumns=True).unionByName(kind, allowMissingColumns=True)

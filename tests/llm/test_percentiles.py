@@ -78,14 +78,26 @@ def test_table(spark):
         assert r["n"] == len(own) and r["p50"] == own[int(np.ceil(0.5 * len(own))) - 1]
 
 
-def test_many_days(spark, monkeypatch):
-    rows = [(i, i // 10, "a", [float(i)], None) for i in range(200)]
-    episodes = spark.createDataFrame([(e, dt.datetime(2025, 1, 1) + dt.timedelta(days=e)) for e in range(20)], "episode_index bigint, recorded_at timestamp")
-    rigs = spark.createDataFrame([("a", "arm")], "source string, robot_type string")
-    whole = [r for r in P.all_percentiles(frames(spark, rows), episodes, rigs).collect() if r["scope"] != "source_day"]
-    monkeypatch.setattr(P, "DAYS_MERGED", 3)
-    sliced = [r for r in P.all_percentiles(frames(spark, rows), episodes, rigs).collect() if r["scope"] != "source_day"]
-    assert sorted(map(str, whole)) == sorted(map(str, sliced)) and whole[0]["p50"] == 99.0
+def test_slices(spark, monkeypatch):
+    """Days that are cut, days that share a slice, and several partitions: the rows alone tell the answers."""
+    rows = [(i, i // 10, "a", [float(i)], None) for i in range(200)] + [(1000 + i, 15, "b", [float(i)], None) for i in range(50)]
+    episodes = spark.createDataFrame([(e, dt.datetime(2025, 1, 1) + dt.timedelta(days=min(e, 15))) for e in range(20)], "episode_index bigint, recorded_at timestamp")
+    rigs = spark.createDataFrame([("a", "arm"), ("b", "arm")], "source string, robot_type string")
+    ask = lambda df: sorted(map(str, P.all_percentiles(df, episodes, rigs).collect()))
+    whole = ask(frames(spark, rows))
+    monkeypatch.setattr(P, "SLICE", 25)
+    monkeypatch.setattr(P, "FAN", 2)
+    assert ask(frames(spark, rows)) == ask(frames(spark, rows[::-1]).repartition(9)) == whole
+    days = P.daily_sketches(frames(spark, rows), episodes)
+    assert days.filter("source = 'a'").count() == 16 and P.answers(days, ["source", "day"]).filter("n = 50").count() == 2
+
+
+def test_order_and_merges_at_any_size():
+    """Sorted readings and many small sketches, of which each level compacts often."""
+    x = np.arange(1_500_000, dtype=np.float32)[:, None]
+    for order in (x, x[::-1], np.random.default_rng(5).permutation(x)):
+        _, found = P.percentiles(sketch(order, 300))
+        assert max(error(x[:, 0], np.float32(found[0, k]), q) for k, q in enumerate(P.PERCENTILES)) <= P.RANK_ERROR
 
 
 def test_empty_and_all_null(spark):
