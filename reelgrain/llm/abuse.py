@@ -21,17 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelgrain.llm.text_norm import HIDDEN
+from reelgrain.session import materialize
 
 #: Terms are hashed into so many places; 0 is no term.
 SPACE, FACTORS = 1 << 16, 8
-#: Words of a passage, and terms that are kept of it.
-LONGEST, STRIDE, TERMS = 18, 9, 48
-#: Bounds of the labelled sample that the machine is fitted on, in documents and passages.
-MAX_HARMFUL, MAX_FINE, MAX_PASSAGES = 4_000, 6_000, 200_000
+#: Words of a passage, and the words between the starts of two of one sentence.
+LONGEST, STRIDE = 18, 9
+#: Bounds of the labelled sample that the machine is fitted on: documents of each side, and passages of each
+#: side, of which whole documents are taken.
+MAX_HARMFUL, MAX_FINE, MAX_PASSAGES = 4_000, 6_000, 300_000
 
 # A small word list of four languages, by class.
 LEXICON = {
@@ -57,9 +59,13 @@ LEXICON = {
     ),
     "rule": "rule rules policy policies moderation removal removed report reported forbidden prohibited reasons guideline guidelines regeln verboten gemeldet normas prohibido moderación 规则 禁止 举报 审核",
 }
+#: Most terms that a passage can have: its words, its pairs, its classes and a disguise.
+TERMS = 2 * LONGEST + len(LEXICON) + 1
 #: Weights that the classes start with, for tables with few or no reviews.
 START = {"insult": 2.0, "degrade": 2.0, "explicit": 2.2, "threat": 1.0, "you": 0.8, "self": -1.0, "machine": -1.2, "rule": -2.5, "disguised": 1.5}
 BIAS = -2.5
+#: A passage whose score is as near to its label as this moves no weights in training.
+SURE = 1e-3
 #: What a passage needs for the first choice: so much weight from the word list, or log ratios of its terms that add up so far.
 LISTED, TELLING = 0.8, 20.0
 
@@ -77,6 +83,7 @@ _BREAK = re.compile(r"[.!?;:。！？；：]+(?=\s|$)|[。！？；：\n]+|[.!?;
 _TOKEN = re.compile(rf"\x02?[{_L}']+|\d+|[぀-ヿ㐀-鿿]+")
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
 _SPEAKER = re.compile(r"^(?:\[\d\d:\d\d\]\s*)?(?:op\d+:\s*)?(?:[>#*\-]+\s+|\d+\.\s+)?", re.M)
+_BETWEEN_BLANKS = re.compile(r"\S+")
 MARK = "\x02"
 
 
@@ -86,6 +93,31 @@ def _unspaced(m: re.Match) -> str:
     return f" {MARK}{word} {MARK}{word[1:]} " if word[0] in "aAiIyY" and len(word) > 4 else f" {MARK}{word} "
 
 
+def _undisguised_word(word: str) -> str:
+    """What stands between blanks, with its disguises undone."""
+    if "*" in word:
+        word = _STARRED.sub(f" {MARK}starred ", word)
+    word = _STRETCHED.sub(lambda m: m[1] if m[1] in "wW" and m[0].lower() == "www" else MARK + "\x03" + m[1], word)
+    word = _MIXED.sub(lambda m: MARK + m[0].translate(_LOOK_ALIKE) if _NEEDS.search(m[0]) else m[0], word)
+    word = _IDENTIFIER.sub(" identifier ", word)
+    if "\x03" in word:  # a stretched letter marks its word
+        word = re.sub(rf"(?<![{_L}'{MARK}\x03])([{_L}'{MARK}\x03]*\x03[{_L}'{MARK}\x03]*)", lambda m: MARK + m[0].replace(MARK, "").replace("\x03", ""), word)
+    return word
+
+
+class _Words(dict):
+    """Words already undisguised; it forgets them when there are too many."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        out = self[word] = _undisguised_word(word)
+        return out
+
+
+_words = _Words()
+
+
 def undisguised(text: str) -> str:
     """The text with its disguises undone; a mark stands before each word that had one."""
     if not text.isascii():
@@ -94,14 +126,8 @@ def undisguised(text: str) -> str:
         text = _TAG.sub("\n", text)
     text = _SPEAKER.sub("", text)
     text = _SPACED.sub(_unspaced, text)
-    if "*" in text:
-        text = _STARRED.sub(f" {MARK}starred ", text)
-    text = _STRETCHED.sub(lambda m: m[1] if m[1] in "wW" and m[0].lower() == "www" else MARK + "\x03" + m[1], text)
-    text = _MIXED.sub(lambda m: MARK + m[0].translate(_LOOK_ALIKE) if _NEEDS.search(m[0]) else m[0], text)
-    text = _IDENTIFIER.sub(" identifier ", text)
-    if "\x03" in text:  # a stretched letter marks its word
-        text = re.sub(rf"(?<![{_L}'{MARK}\x03])([{_L}'{MARK}\x03]*\x03[{_L}'{MARK}\x03]*)", lambda m: MARK + m[0].replace(MARK, "").replace("\x03", ""), text)
-    return text
+    known = _words
+    return _BETWEEN_BLANKS.sub(lambda m: known[m[0]], text)
 
 
 class Terms:
@@ -112,50 +138,63 @@ class Terms:
         for name, listed in LEXICON.items():
             for word in listed.split():
                 self.classes.setdefault(word, []).append(self.place(f"class {name}"))
-        self.known: dict[str, int] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[tuple[str, str], tuple[int, ...]] = {}
+        self.cuts: dict[str, tuple[str, ...]] = {}
 
     @staticmethod
     def place(term: str) -> int:
         return 1 + zlib.crc32(term.encode("utf-8", "ignore")) % (SPACE - 1)
 
-    def _place(self, term: str) -> int:
-        place = self.known.get(term)
-        if place is None:
-            if len(self.known) > 1_000_000:
-                self.known.clear()
-            place = self.known[term] = self.place(term)
-        return place
-
-    def _row(self, tokens: list[str]) -> list[int]:
-        found: dict[int, None] = {}
-        before = "^"
-        for token in tokens:
-            if token[0] == MARK:
-                token = token[1:]
-                found[self._place("class disguised")] = None
-            for place in self.classes.get(token, ()):
-                found[place] = None
-            found[self._place(token)] = None
-            found[self._place(f"{before} {token}")] = None
-            before = token
-        return list(found)[:TERMS]
+    def _kept(self, known: dict, key: object, places: tuple) -> tuple:
+        if len(known) > 1_000_000:
+            known.clear()
+        known[key] = places
+        return places
+
+    def _word(self, token: str) -> tuple[int, ...]:
+        """The places of a word, its classes and its disguise."""
+        bare = token.lstrip(MARK) if token[0] == MARK else token
+        return self._kept(self.words, token, (*((self.place("class disguised"),) if token[0] == MARK else ()), *self.classes.get(bare, ()), self.place(bare)))
+
+    def _pair(self, before: str, token: str) -> tuple[int, ...]:
+        bare = [t[1:] if t[0] == MARK else t for t in (before, token)]
+        return self._kept(self.pairs, (before, token), (self.place(f"{bare[0]} {bare[1]}"),))
+
+    def _rows(self, tokens: list[str]) -> list[list[int]]:
+        words, pairs = self.words, self.pairs
+        each = [words.get(t) or self._word(t) for t in tokens]
+        beside = [pairs.get(p) or self._pair(*p) for p in zip(tokens, tokens[1:])]
+        out = []
+        for i in range(0, max(1, len(tokens) - LONGEST + STRIDE) if len(tokens) > LONGEST else 1, STRIDE):
+            found = dict.fromkeys(pairs.get(("^", tokens[i])) or self._pair("^", tokens[i]))
+            for places in each[i : i + LONGEST]:
+                for place in places:
+                    found[place] = None
+            for places in beside[i : i + LONGEST - 1]:
+                found[places[0]] = None
+            out.append(list(found))
+        return out
+
+    def _cut(self, token: str) -> tuple[str, ...]:
+        """The terms of a token: Chinese ones by two signs, numbers as one."""
+        if token[0] > "\u3000":
+            out = tuple(token[i : i + 2] for i in range(max(1, len(token) - 1)))
+        elif token.isdigit():
+            out = ("9",)
+        else:
+            out = (token,) if token.strip("'" + MARK) else ()
+        return self._kept(self.cuts, token, out)
 
     def passages(self, text: str | None) -> list[list[int]]:
-        rows = []
-        for sentence in _BREAK.split(undisguised(text or "")):
+        rows, cuts = [], self.cuts
+        for sentence in _BREAK.split(undisguised(text or "").lower()):
             tokens: list[str] = []
-            for token in _TOKEN.findall(sentence.lower()):
-                if token[0] > "\u3000":
-                    tokens += [token[i : i + 2] for i in range(max(1, len(token) - 1))]
-                elif token.isdigit():
-                    tokens.append("9")
-                elif token.strip("'" + MARK):
-                    tokens.append(token)
-            if len(tokens) <= LONGEST:
-                if tokens:
-                    rows.append(self._row(tokens))
-            else:
-                rows += [self._row(tokens[i : i + LONGEST]) for i in range(0, len(tokens) - LONGEST + STRIDE, STRIDE)]
+            for token in _TOKEN.findall(sentence):
+                cut = cuts.get(token)
+                tokens += self._cut(token) if cut is None else cut
+            if tokens:
+                rows += self._rows(tokens)
         return rows
 
 
@@ -205,17 +244,22 @@ class FactorizationMachine:
                 total = v.sum(axis=1)
                 margin = self.bias + self.weight[part].sum(axis=1) + 0.5 * ((total**2) - (v**2).sum(axis=1)).sum(axis=1)
                 g = ((1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[at]) * share[at]).astype(np.float32)
+                # Passages that the machine is sure of tell nothing more; the bias sees them all.
+                self.squares[2] += np.float32(g.sum() ** 2)
+                self.bias -= np.float32(rate * g.sum() / np.sqrt(self.squares[2]))
+                unsure = np.abs(g) > SURE
+                if not unsure.any():
+                    continue
+                part, v, total, g = part[unsure], v[unsure], total[unsure], g[unsure]
                 flat, g_each = part.ravel(), np.repeat(g, part.shape[1])
-                places, slots = np.unique(flat, return_inverse=True)
-                g_weight = np.bincount(slots, g_each, len(places)) + decay * (self.weight[places] - start[places])
-                g_v = (g[:, None, None] * (total[:, None, :] - v)).reshape(-1, FACTORS)
-                g_factor = np.stack([np.bincount(slots, g_v[:, f], len(places)) for f in range(FACTORS)], axis=1) + decay * self.factor[places]
+                places = np.flatnonzero(np.bincount(flat, minlength=SPACE))
+                g_weight = np.bincount(flat, g_each, SPACE)[places] + decay * (self.weight[places] - start[places])
+                g_v = g[:, None, None] * (total[:, None, :] - v)
+                g_factor = np.stack([np.bincount(flat, g_v[:, :, f].ravel(), SPACE)[places] for f in range(FACTORS)], axis=1) + decay * self.factor[places]
                 self.squares[0][places] += g_weight**2
                 self.squares[1][places] += g_factor**2
                 self.weight[places] -= rate * g_weight / np.sqrt(self.squares[0][places])
                 self.factor[places] -= 0.5 * rate * g_factor / np.sqrt(self.squares[1][places])
-                self.squares[2] += np.float32(g.sum() ** 2)
-                self.bias -= np.float32(rate * g.sum() / np.sqrt(self.squares[2]))
                 self.weight[0], self.factor[0] = 0, 0
 
 
@@ -224,8 +268,7 @@ def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2
 
     The first choice of passages goes by the word list, and by how much more often their terms and they
     themselves occur in harmful documents. Later ones go by machines fitted to other documents than those they judge, so
-    that a wrong label is not learnt by heart. With fewer than 30 chosen passages there are no such rounds, and
-    only those that the word list speaks for are learnt.
+    that a wrong label is not learnt by heart.
     """
     documents, bad = len(harmful), harmful[owner]
     if not bad.any() or bad.all():
@@ -260,9 +303,6 @@ def train(x: np.ndarray, owner: np.ndarray, harmful: np.ndarray, rounds: int = 2
     chosen, fine = bad & ~usual & speaks & (marks >= 0.8 * best[owner]), ~bad
     fold = owner % folds
     for _ in range(rounds):
-        if chosen.sum() < 30:  # too few to judge each other: those that the word list speaks for
-            chosen &= listed > LISTED
-            break
         for f in range(folds):
             marks[fold == f] = fit(fold != f, chosen, fine, 3).score(x[fold == f])
         chosen = bad & ~usual & (marks > 0.5)
@@ -280,8 +320,9 @@ def _labelled(labels: DataFrame) -> DataFrame:
 def fit_reviews(documents: DataFrame, labels: DataFrame) -> FactorizationMachine:
     """The machine, fitted on a sample of reviewed documents that is bounded by the module's parameters.
 
-    The sample is the first by a hash of the id, of each side; it is cut into passages by the executors, and
-    only rows of hashed terms come to the driver.
+    The sample is the first by a hash of the id, of each side, up to ``MAX_HARMFUL`` and ``MAX_FINE`` documents
+    and ``MAX_PASSAGES`` passages of each; it is cut into passages by the executors, and only rows of hashed
+    terms come to the driver.
     """
     labelled = _labelled(labels)
     sides = [labelled.filter(F.col("harmful") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for side, n in ((True, MAX_HARMFUL), (False, MAX_FINE))]
@@ -294,8 +335,11 @@ def fit_reviews(documents: DataFrame, labels: DataFrame) -> FactorizationMachine
             frame = pd.DataFrame({"doc_id": [o[0] for o in out], "harmful": [o[1] for o in out], "terms": [np.array(o[2], np.int32).tobytes() for o in out]})
             yield frame
 
-    passages = sample.mapInPandas(cut, "doc_id bigint, harmful boolean, terms binary")
-    rows = passages.orderBy(F.xxhash64("doc_id"), "doc_id", "terms").limit(MAX_PASSAGES).toPandas()
+    passages = materialize(sample.mapInPandas(cut, "doc_id bigint, harmful boolean, terms binary"))
+    # Of each side whole documents, by the same hash, as far as their passages stay in the bound.
+    along = Window.partitionBy("harmful").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    taken = passages.groupBy("harmful", "doc_id").agg(F.count("*").alias("n")).withColumn("sum", F.sum("n").over(along)).filter(F.col("sum") <= MAX_PASSAGES)
+    rows = passages.join(taken.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "terms").toPandas()
     if not len(rows):
         return FactorizationMachine()
     owner, ids = pd.factorize(rows["doc_id"])
@@ -304,14 +348,15 @@ def fit_reviews(documents: DataFrame, labels: DataFrame) -> FactorizationMachine
     return train(matrix([np.frombuffer(t, np.int32) for t in rows["terms"]]), owner, harmful)
 
 
-def abuse_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def abuse_scores(documents: DataFrame, labels: DataFrame | None = None, *, machine: FactorizationMachine | None = None) -> DataFrame:
     """Every document with its score: ``doc_id``, ``source``, ``score`` (0 to 1), ``passages``.
 
     Null and empty texts have score 0. Rows of one ``doc_id`` give one row each; labels of unknown
     documents are ignored. Without any harmful label the machine keeps its starting weights. An
-    empty table gives an empty result.
+    empty table gives an empty result. A ``machine`` that was fitted before is used as it is.
     """
-    machine = fit_reviews(documents, labels)
+    if machine is None:
+        machine = fit_reviews(documents, labels) if labels is not None else FactorizationMachine()
     shared = documents.sparkSession.sparkContext.broadcast((machine.bias, machine.weight, machine.factor))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
