@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelgrain.llm.abuse import abuse_scores, source_rates
 from reelgrain.llm.event_runs import event_runs
-from reelgrain.llm.frequency import marked_terms, term_frequencies
+from reelgrain.llm.frequency import marked_terms
 from reelgrain.llm.leakage import leaked_items
 from reelgrain.llm.packing import fill_report, packed
 from reelgrain.llm.percentiles import all_percentiles
@@ -32,18 +32,19 @@ def p1_kept(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
-    return marked_terms(table(spark, root, "grasp_records"), TERM_FIELDS).filter("mark is not null").select("field_name", "term", "mark")
+    """The single terms among all runs of terms that stand next to each other."""
+    return marked_terms(table(spark, root, "grasp_records"), TERM_FIELDS).filter("length = 1 and mark is not null").select("field_name", "term", "mark")
 
 
 def p2_terms(spark: SparkSession, root: str) -> DataFrame:
     """Every term with its occurrences and records."""
-    return marked_terms(table(spark, root, "grasp_records"), TERM_FIELDS)
+    return marked_terms(table(spark, root, "grasp_records"), TERM_FIELDS).filter("length = 1").drop("length")
 
 
 def p2_runs(spark: SparkSession, root: str) -> DataFrame:
     """Runs of up to three terms that stand next to each other in a cell."""
-    runs = term_frequencies(table(spark, root, "grasp_records"), TERM_FIELDS, longest=3)
-    return runs.select("field_name", F.array_join("ngram", "; ").alias("terms"), F.size("ngram").cast("bigint").alias("length"), "occurrences", "records")
+    runs = marked_terms(table(spark, root, "grasp_records"), TERM_FIELDS)
+    return runs.select("field_name", F.col("term").alias("terms"), F.col("length").cast("bigint").alias("length"), "occurrences", "records")
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:

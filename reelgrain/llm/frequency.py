@@ -129,12 +129,14 @@ def term_frequencies(records: DataFrame, fields: Sequence[str], *, key: str = "r
     return grams.groupBy("field_name", "ngram").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
 
 
-def marked_terms(records: DataFrame, fields: Sequence[str], *, key: str = "record_id", rare_below: int = 3, common_above: float = 0.1) -> DataFrame:
-    """All terms with their counts and a ``mark``: ``rare``, ``common`` or null.
+def marked_terms(records: DataFrame, fields: Sequence[str], *, key: str = "record_id", longest: int = 3, rare_below: int = 3, common_above: float = 0.1) -> DataFrame:
+    """All runs of up to ``longest`` terms with their counts, and a ``mark``: ``rare``, ``common`` or null.
 
-    Rare: in fewer than ``rare_below`` records; common: in more than the share ``common_above`` of all
-    records. A term that is both, in a table of very few records, is rare.
+    ``term`` has the terms of a run joined by ``; ``, which no single term holds, and ``length`` their
+    number. Rare: in fewer than ``rare_below`` records; common: in more than the share
+    ``common_above`` of all records. A run that is both, in a table of very few records, is rare.
     """
     every = records.select(F.count_distinct(F.col(key))).scalar()
-    terms = term_frequencies(records, fields, key=key).select("field_name", F.col("ngram")[0].alias("term"), "occurrences", "records")
-    return terms.withColumn("mark", F.when(F.col("records") < rare_below, "rare").when(F.col("records") > common_above * every, "common"))
+    runs = term_frequencies(records, fields, key=key, longest=longest)
+    runs = runs.select("field_name", F.array_join("ngram", "; ").alias("term"), F.size("ngram").alias("length"), "occurrences", "records")
+    return runs.withColumn("mark", F.when(F.col("records") < rare_below, "rare").when(F.col("records") > common_above * every, "common"))

@@ -1,8 +1,10 @@
 """Template residue, filler, error pages and script notices in place of real content.
 
-All phrases go into one Aho-Corasick automaton; a cell is read once, whatever the number of phrases.
-Matched spans are held against the length of the sentence that they stand in, so a leftover is also
-found beside a real sentence, and a sentence that only mentions such words is left alone.
+All phrases, and the marks that open a slot of a template, go into one Aho-Corasick automaton; a cell
+is read once, whatever their number. Where a mark is found, what follows it tells whether it is an
+unfilled slot, whose name is open. Matched spans are held against the length of the sentence that they
+stand in, so a leftover is also found beside a real sentence, and a sentence that only mentions such
+words is left alone; the share of the whole cell can be asked for beyond that.
 """
 
 from __future__ import annotations
@@ -52,20 +54,20 @@ LATIN_FILLER = (
     "enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat"
 )
 
-#: An unfilled slot of the usual template languages: a name, perhaps dotted, and nothing else in the marks.
-_NAME = r"[A-Za-z][\w.\-]{0,60}"
-PLACEHOLDER = re.compile(
-    "|".join(
-        rf"(?:{p})"
-        for p in (
-            rf"\{{\{{\{{?\s*{_NAME}(?:\s*\|[^{{}}]*)?\s*\}}\}}", rf"\{{%-?\s*{_NAME}[^{{}}%]*%\}}", rf"[$#]\{{\s*{_NAME}\s*\}}", rf"\{{{_NAME}\}}", rf"<<\s*{_NAME}\s*>>", rf"<%=?\s*{_NAME}\s*%>",
-            rf"<{_NAME}>", rf"\[\[\s*{_NAME}\s*\]\]", r"\[(?:insert|enter|add|your)\s[^\]\[]{1,60}\]", rf"@@\s*{_NAME}\s*@@", r"(?<![\w])__[A-Za-z][\w.]*?__(?![\w])", rf"(?<![\w$])\${_NAME}\$", rf"%\({_NAME}\)[sdfr]", r"(?<![\w%])%[A-Z][A-Z_]+%",
-        )
+#: By the mark that opens it, an unfilled slot of the usual template languages: a name, perhaps dotted, and
+#: nothing else in the marks; or an instruction to the writer in brackets.
+_NAME = r"[A-Za-z][\w.\-]*"
+SLOTS = {
+    mark: re.compile(rest)
+    for mark, rest in (
+        ("{{", rf"\{{\{{\{{?\s*{_NAME}(?:\s*\|[^{{}}]*)?\s*\}}\}}"), ("{%", rf"\{{%-?\s*{_NAME}[^{{}}%]*%\}}"), ("${", rf"\$\{{\s*{_NAME}\s*\}}"), ("#{", rf"#\{{\s*{_NAME}\s*\}}"), ("{", rf"\{{{_NAME}\}}"),
+        ("<<", rf"<<\s*{_NAME}\s*>>"), ("<%", rf"<%=?\s*{_NAME}\s*%>"), ("<", rf"<{_NAME}>"), ("[[", rf"\[\[\s*{_NAME}\s*\]\]"), ("[", r"\[(?:insert|enter|add|your)\s[^\]\[]+\]"),
+        ("@@", rf"@@\s*{_NAME}\s*@@"), ("__", r"(?<!\w)__[A-Za-z][\w.]*?__(?!\w)"), ("$", rf"(?<![\w$])\${_NAME}\$"), ("%(", rf"%\({_NAME}\)[sdfr]"), ("%", r"(?<![\w%])%[A-Z][A-Z_]+%"),
     )
-)
+}
 _SENTENCE = re.compile(r"(?<=[.!?。！？])[\s.]+|[\r\n]+|(?<=[。！？])")
 _HIDDEN = re.compile(r"[\u00ad\u200b-\u200f\u2060-\u2064\ufeff]")
-_CROSSES = re.compile(r"\bx{3,}(?:\s+x{3,})*\b")
+_CROSSES = re.compile(r"x{3,}(?:\s+x{3,})*\b")
 _EDGE = re.compile(r"[A-Za-z0-9]")
 
 
@@ -76,6 +78,12 @@ def phrases() -> dict[str, str]:
     return named | dict.fromkeys(ERROR_PHRASES, "error") | dict.fromkeys(FILLER_PHRASES, "filler") | dict.fromkeys(LATIN_FILLER.split(), "latin")
 
 
+def _lower(text: str) -> str:
+    """In lower case, letter by letter, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 class ResidueScanner:
     """Finds leftovers in a cell. ``coverage``: share of a sentence that must be matched."""
 
@@ -84,53 +92,79 @@ class ResidueScanner:
         self.automaton = ahocorasick.Automaton()
         for phrase, kind in phrases().items():
             self.automaton.add_word(phrase, (len(phrase), kind, phrase[0].isascii() and phrase[0].isalnum(), phrase[-1].isascii() and phrase[-1].isalpha()))
+        for mark in SLOTS:
+            self.automaton.add_word(mark, (len(mark), mark, False, False))
         self.automaton.make_automaton()
 
-    def _sentence(self, text: str) -> tuple[float, set[str]]:
-        """The share of letters and digits in matched spans, and the kinds that matched."""
-        spans: list[tuple[int, int, str]] = [(m.start(), m.end(), "filler") for m in _CROSSES.finditer(text)]
-        for last, (length, kind, left, right) in self.automaton.iter(text):
+    def _spans(self, text: str, low: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]]]:
+        """Matched phrases with their kinds, and unfilled slots."""
+        spans, slots, crossed = [], [], 0
+        for last, (length, kind, left, right) in self.automaton.iter(low):
             start, end = last - length + 1, last + 1
-            if (left and start and _EDGE.match(text[start - 1])) or (right and end < len(text) and _EDGE.match(text[end])):
+            if kind in SLOTS:
+                slot = SLOTS[kind].match(text, start)
+                if slot:
+                    slots.append(slot.span())
+                continue
+            if left and start and _EDGE.match(low[start - 1]):
+                continue
+            if low.startswith("xxx", start) and length == 3:  # a row of crosses counts as a whole
+                row = _CROSSES.match(low, start) if start >= crossed else None
+                if row:
+                    crossed = row.end()
+                    spans.append((start, crossed, kind))
+                continue
+            if right and end < len(low) and _EDGE.match(low[end]):
                 continue
             spans.append((start, end, kind))
-        latin = [s for s in spans if s[2] == "latin"]
-        if len(latin) < 3:
+        return spans, slots
+
+    def _sentence(self, spans: list[tuple[int, int, str]], length: int) -> set[str]:
+        """The kinds that matched, if they cover enough of a sentence of so many signs."""
+        if sum(kind == "latin" for _, _, kind in spans) < 3:
             spans = [s for s in spans if s[2] != "latin"]
-        if not spans:
-            return 0.0, set()
         total, reached, kinds = 0, 0, set()
         for start, end, kind in sorted(spans):
             # A notice names what to enable in two or three words of a longer sentence: it weighs double.
             total += max(0, end - max(start, reached)) * (2 if kind == "script" else 1)
             reached = max(reached, end)
             kinds.add("filler" if kind == "latin" else kind)
-        return total / len(text), kinds
+        return kinds if spans and total >= self.coverage * length else set()
 
     def scan(self, cell: str | None) -> tuple[float, str | None]:
         """Share of the cell that is leftover, and the kinds found, or None where there is none."""
         if not cell:
             return 0.0, None
         text = _HIDDEN.sub("", unicodedata.normalize("NFKC", cell))
-        kinds, matched = set(), 0
-        for m in PLACEHOLDER.finditer(text):
-            kinds.add("placeholder")
-            matched += m.end() - m.start()
-        for sentence in _SENTENCE.split(text.lower()):
-            sentence = " ".join(sentence.split())
-            if sentence:
-                share, found = self._sentence(sentence)
-                if share >= self.coverage:
-                    kinds |= found
-                    matched += len(sentence)
-        return min(1.0, matched / max(1, len(text))), ",".join(sorted(kinds)) or None
-
-
-def residue(records: DataFrame, fields: Sequence[str], key: str = "record_id", coverage: float = 0.3) -> DataFrame:
+        text = "\n".join(" ".join(line.split()) for line in text.splitlines() if line.strip())
+        spans, slots = self._spans(text, _lower(text))
+        if not spans and not slots:
+            return 0.0, None
+        kinds = {"placeholder"} if slots else set()
+        covered = sorted(slots)
+        edges = [0, *(e for m in _SENTENCE.finditer(text) for e in m.span()), len(text)]
+        at, spans = 0, sorted(spans)
+        for start, end in zip(edges[::2], edges[1::2]):
+            mine = []
+            while at < len(spans) and spans[at][0] < end:
+                mine += [spans[at]] if spans[at][0] >= start else []
+                at += 1
+            found = self._sentence(mine, end - start) if mine else set()
+            if found:
+                kinds |= found
+                covered.append((start, end))
+        matched, reached = 0, 0
+        for start, end in sorted(covered):
+            matched += max(0, end - max(start, reached))
+            reached = max(reached, end)
+        return (matched / len(text), ",".join(sorted(kinds))) if kinds else (0.0, None)
+
+
+def residue(records: DataFrame, fields: Sequence[str], key: str = "record_id", coverage: float = 0.3, least: float = 0.0) -> DataFrame:
     """The cells that hold leftovers: ``key``, ``field_name``, ``kinds``, ``share``.
 
-    ``share`` is how much of the cell is leftover; a record whose cells are mostly leftover holds
-    nothing else. Null and empty cells are no cases, nor are ``Unknown``, ``None`` and ``n/a``.
+    ``share`` is how much of the cell is leftover; cells with a share below ``least`` are let pass (0:
+    none is, so that a slot in a long real text counts too). Null and empty cells are no cases, nor are ``Unknown``, ``None`` and ``n/a``.
     Repeated rows come out once, an empty table gives an empty result, rows without a key come out
     with a null key, and further columns are ignored.
     """
@@ -141,13 +175,16 @@ def residue(records: DataFrame, fields: Sequence[str], key: str = "record_id", c
         for batch in batches:
             found = [scanner.scan(c) for c in batch["cell"]]
             batch["share"], batch["kinds"] = [s for s, _ in found], [k for _, k in found]
-            yield batch.loc[batch["kinds"].notna(), ["_key", "field_name", "kinds", "share"]]
+            yield batch.loc[batch["kinds"].notna() & (batch["share"] >= least), ["_key", "field_name", "kinds", "share"]]
 
     kind = cells.schema["_key"].dataType.simpleString()
     found = cells.select("_key", "_c.field_name", "_c.cell").filter("cell is not null and cell <> ''").mapInPandas(scan, f"_key {kind}, field_name string, kinds string, share double")
     return found.distinct().withColumnRenamed("_key", key)
 
 
-def without_residue(records: DataFrame, fields: Sequence[str], key: str = "record_id", coverage: float = 0.3) -> DataFrame:
-    """The records none of whose cells holds leftovers; repeated rows stay repeated, rows without a key stay."""
-    return records.join(residue(records, fields, key, coverage).select(key).distinct(), key, "left_anti")
+def without_residue(records: DataFrame, fields: Sequence[str], key: str = "record_id", coverage: float = 0.3, least: float = 0.0) -> DataFrame:
+    """The records none of whose cells holds leftovers of a share of at least ``least``.
+
+    Repeated rows stay repeated, rows without a key stay.
+    """
+    return records.join(residue(records, fields, key, coverage, least).select(key).distinct(), key, "left_anti")

@@ -32,6 +32,25 @@ def test_real_cells(cell):
     assert ResidueScanner().scan(cell) == (0.0, None)
 
 
+@pytest.mark.parametrize("cell", ["{{ " + "very_long_name." * 20 + "end }}", "The hand holds [insert " + "the name of the thing that is held " * 5 + "] now.", "<" + "a" * 300 + ">", "%(" + "b" * 100 + ")s"])
+def test_slots_of_any_length(cell):
+    assert ResidueScanner().scan(cell)[1] == "placeholder"
+
+
+def test_share_is_that_of_the_cell():
+    share, kinds = ResidueScanner().scan("The left hand holds the cup for a while. " * 9 + "Internal server error.")
+    assert kinds == "error" and 0.04 < share < 0.08
+    assert ResidueScanner().scan("{{a}} and {{b}}") == (10 / 15, "placeholder")
+    for hard in ("__a" * 50_000, "{{a" * 50_000, "$a-" * 50_000, "[your " * 30_000, "x" * 200_000, "xxx " * 50_000):
+        ResidueScanner().scan(hard)
+
+
+def test_least_share(spark):
+    df = spark.createDataFrame([(1, "{{x}}"), (2, "The left hand holds the cup for a long while. " * 5 + "{{x}}")], "record_id bigint, description string")
+    assert [r["record_id"] for r in residue(df, ("description",), least=0.5).collect()] == [1]
+    assert [r["record_id"] for r in without_residue(df, ("description",), least=0.5).collect()] == [2]
+
+
 SCHEMA = "record_id bigint, grasp_type string, description string, _key int, field_name string, cell string"
 
 
