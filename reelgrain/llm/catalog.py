@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reelgrain.llm.abuse import abuse_scores, source_rates
 from reelgrain.llm.event_runs import event_runs
 from reelgrain.llm.frequency import marked_terms
-from reelgrain.llm.leakage import leaked_items
+from reelgrain.llm.leakage import leaked_items, without_leaks
 from reelgrain.llm.packing import fill_report, packed
 from reelgrain.llm.percentiles import all_percentiles
 from reelgrain.llm.residue import residue, without_residue
@@ -79,6 +79,12 @@ def p8_items(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
 
 
+def p8_cleaned(spark: SparkSession, root: str) -> DataFrame:
+    """How much is left of each document that held a leak; those that consist of leaks to more than a half are left out."""
+    kept = without_leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return kept.filter("cut_words > 0").select("doc_id", "cut_words", "words")
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     scores = abuse_scores(table(spark, root, "documents"), table(spark, root, "review_labels"))
     return scores.filter(F.col("score") >= ABUSIVE).select("doc_id").distinct()
@@ -95,7 +101,7 @@ def p9_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p7_containers, p7_fill, p8_found, p8_items, p9_found, p9_scores, p9_rates)
+    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p7_containers, p7_fill, p8_found, p8_items, p8_cleaned, p9_found, p9_scores, p9_rates)
     return {f.__name__: f for f in found}
 
 

@@ -26,6 +26,16 @@ def visible(text: str) -> str:
     return _ESCAPE.sub(" ", text) if "\\" in text else text
 
 
+_PLACED = re.compile(r"[^\W_]+(?:[’'`´ʼ]+[^\W_]+)*")
+
+
+def placed_words(text: str) -> tuple[str, list[tuple[str, int, int]]]:
+    """The text as read, and its words as :func:`words` gives them, with their places in it."""
+    shown = visible(text)
+    plain = _LINE_MARK.sub(lambda m: " " * len(m[0]), shown)
+    return shown, [(_APOSTROPHE.sub("", m[0]).lower(), *m.span()) for m in _PLACED.finditer(plain)]
+
+
 def words(text: str) -> list[str]:
     """Lower-case words without line marks and punctuation."""
     return _WORD.findall(_APOSTROPHE.sub("", _LINE_MARK.sub("", visible(text))).lower())
