@@ -96,6 +96,7 @@ def event_runs(seconds: DataFrame, *, block: int = 1024) -> DataFrame:
         "written_at",
         F.when(F.col("analysis.description").isNotNull(), F.struct(folded_hands(F.col("analysis.active_hands")).alias("hands"), folded_words(F.col("analysis.description")).alias("words"))).alias("event"),
     )
+    rows = materialize(rows)  # wordings are folded once; their words are counted and compared from here
     at = F.expr(f"floor(second / {block})")
     # The last second of a block also goes to the next one, as predecessor of its first.
     blocks = F.when(F.pmod("second", F.lit(block)) == block - 1, F.array(at, at + 1)).otherwise(F.array(at))
@@ -122,7 +123,7 @@ def event_runs(seconds: DataFrame, *, block: int = 1024) -> DataFrame:
     linked = materialize(linked)
 
     maybe = linked.filter("pairs is not null and own").select("base_name", "second", F.explode("pairs").alias("p")).select("base_name", "second", "p.a", "p.b")
-    words = rows.select(F.explode("event.words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = materialize(rows.select(F.explode("event.words").alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     distinct = maybe.select("a", "b").distinct()
     told = distinct.join(words.select(F.col("word").alias("a"), F.col("n").alias("n_a")), "a").join(words.select(F.col("word").alias("b"), F.col("n").alias("n_b")), "b")
     right = _corrections(words)
