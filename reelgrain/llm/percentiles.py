@@ -33,7 +33,7 @@ FIELDS = ("observation.state", "action")
 #: to 2 * SECTION * SECTIONS items.
 SECTION, SECTIONS = 32, 6
 #: Frames of a slice.
-SLICE = 200_000
+SLICE = 50_000
 #: Slices whose sketches are merged in one step.
 FAN = 256
 #: Stated bound: the rank of a percentile q is off by at most this share of min(q, 1 - q) * n; up to
