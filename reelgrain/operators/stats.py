@@ -13,21 +13,24 @@ def readings(df: DataFrame, vector: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*keep, F.posexplode(F.col(f"`{vector}`")).alias("dim", "x")).select(*keep, F.col("dim").cast("bigint").alias("dim"), F.col("x").cast("double").alias("x"))
 
 
-def quantile(x: str | Column, q: float, accuracy: int | None = None) -> Column:
-    """Exact by linear interpolation, or with ``accuracy`` a sketch whose size doesn't grow with the rows."""
-    return F.percentile(x, q) if accuracy is None else F.percentile_approx(x, q, accuracy).cast("double")
-
-
-def vector_stats(df: DataFrame, vector: str, by: Sequence[str] = (), *, quantiles: bool = True, accuracy: int | None = None) -> DataFrame:
+def vector_stats(df: DataFrame, vector: str, by: Sequence[str] = (), *, quantiles: bool = True, accuracy: int | None = None, finite: bool = False) -> DataFrame:
     """Count, mean, population deviation, extremes and the 1st and 99th percentile of each dimension.
 
     Partial aggregates are merged after the shuffle, whose rows are one per task, group and dimension.
-    Exact percentiles buffer the distinct values of a group; above some ten millions give ``accuracy``.
+    Exact percentiles interpolate and buffer the distinct values of a group. With ``accuracy`` they
+    are readings whose rank is off by at most n / accuracy, from one mergeable sketch whose size
+    doesn't grow with the rows. ``finite``: only finite readings count.
     """
+    rows = readings(df, vector, by)
+    if finite:
+        rows = rows.filter("abs(x) < double('Infinity')")
     aggregates = [F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("low"), F.max("x").alias("high")]
-    if quantiles:
-        aggregates += [quantile("x", 0.01, accuracy).alias("q01"), quantile("x", 0.99, accuracy).alias("q99")]
-    return readings(df, vector, by).groupBy(*by, "dim").agg(*aggregates)
+    if not quantiles:
+        return rows.groupBy(*by, "dim").agg(*aggregates)
+    if accuracy is None:
+        return rows.groupBy(*by, "dim").agg(*aggregates, F.percentile("x", 0.01).alias("q01"), F.percentile("x", 0.99).alias("q99"))
+    out = rows.groupBy(*by, "dim").agg(*aggregates, F.percentile_approx("x", [0.01, 0.99], accuracy).alias("_q"))
+    return out.withColumns({"q01": F.col("_q")[0].cast("double"), "q99": F.col("_q")[1].cast("double")}).drop("_q")
 
 
 def signal_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:

@@ -29,9 +29,10 @@ def norm_stats_grouped(spark: SparkSession, root: str) -> DataFrame:
 
 
 def norm_stats_rigs(spark: SparkSession, root: str) -> DataFrame:
-    """Per rig and channel over all finite readings."""
-    rows = S.readings(_frames(spark, root), "observation.state", ["source"]).filter("abs(x) < double('Infinity')")
-    return rows.groupBy("source", "dim").agg(F.count("x").alias("n"), F.round(F.avg("x"), 4).alias("mean"), F.round(F.min("x"), 4).alias("low"), F.round(F.max("x"), 4).alias("high"))
+    """Normalization statistics of both vectors per rig and channel, over all finite readings."""
+    vectors = [F.struct(F.lit(name).alias("field_name"), F.col(f"`{name}`").alias("v")) for name in ("observation.state", "action")]
+    rows = _frames(spark, root).select("source", F.explode(F.array(*vectors)).alias("f")).select("source", "f.*")
+    return S.vector_stats(rows, "v", ["source", "field_name"], accuracy=10_000, finite=True).withColumns({c: F.round(c, 4) for c in ("mean", "std", "low", "high", "q01", "q99")})
 
 
 def episode_stats(spark: SparkSession, root: str) -> DataFrame:
@@ -143,9 +144,11 @@ def _shift(sign: str, mask: str) -> str:
 ORACLE = {
     "norm_stats": f"WITH {_FLAT} SELECT dim, {_STATS} FROM flat GROUP BY dim",
     "norm_stats_grouped": f"WITH {_FLAT} SELECT label, dim, {_STATS} FROM flat GROUP BY label, dim",
-    "norm_stats_rigs": """WITH one AS (SELECT index, any_value(source) AS source, any_value("observation.state") AS v FROM frames GROUP BY index),
-        flat AS (SELECT source, unnest(v)::DOUBLE AS x, generate_subscripts(v, 1) - 1 AS dim FROM one)
-        SELECT source, dim, count(x) AS n, round(avg(x), 4) AS mean, round(min(x), 4) AS low, round(max(x), 4) AS high FROM flat WHERE x > -1e6 AND x < 1e6 GROUP BY source, dim""",
+    "norm_stats_rigs": """WITH one AS (SELECT index, any_value(source) AS source, any_value("observation.state") AS s, any_value(action) AS a FROM frames GROUP BY index),
+        two AS (SELECT source, 'observation.state' AS field_name, s AS v FROM one UNION ALL SELECT source, 'action', a FROM one),
+        flat AS (SELECT source, field_name, unnest(v)::DOUBLE AS x, generate_subscripts(v, 1) - 1 AS dim FROM two)
+        SELECT source, field_name, dim, count(x) AS n, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS std, round(min(x), 4) AS low, round(max(x), 4) AS high, round(quantile_disc(x, 0.01), 4) AS q01, round(quantile_disc(x, 0.99), 4) AS q99
+        FROM flat WHERE isfinite(x) GROUP BY ALL""",
     "episode_stats": "SELECT user_id, count(value) AS n, round(avg(value), 6) AS mean, round(var_pop(value), 6) AS variance, min(value) AS low, max(value) AS high FROM events GROUP BY user_id",
     "pooled_stats": "SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, min(value) AS low, max(value) AS high FROM events GROUP BY event_type",
     "normalize_zscore": f"WITH {_FLAT}, s AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS d FROM flat GROUP BY dim) SELECT vec_id, dim, round((x - m) / (d + 1e-6), 6) AS z FROM flat JOIN s USING (dim)",
