@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelgrain.operators.chunks import last_in, ranged, total_in
+
 
 def sessions(df: DataFrame, keys: Sequence[str], second: str, gap: int = 1) -> DataFrame:
     """Stretches whose successive seconds differ by at most ``gap``: ``start``, ``end`` (exclusive), ``n``."""
-    w = Window.partitionBy(*keys).orderBy(second)
-    rows = df.select(*keys, second).distinct().withColumn("_new", F.coalesce(F.col(second) - F.lag(second).over(w) > gap, F.lit(True)).cast("int"))
-    rows = rows.withColumn("_s", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = ranged(df.select(*keys, second).distinct(), keys, [second])
+    rows = last_in(rows, keys, [second], F.col(second), "_was", before=True).withColumn("_new", F.coalesce(F.col(second) - F.col("_was") > gap, F.lit(True)).cast("int"))
+    rows = total_in(rows, keys, [second], "_new", "_s").withColumn("_s", F.col("_s") + F.col("_new"))
     return rows.groupBy(*keys, "_s").agg(F.min(second).alias("start"), (F.max(second) + 1).alias("end"), F.count("*").alias("n")).drop("_s")
 
 

@@ -7,10 +7,12 @@ import re
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelgrain.operators.chunks import numbered_by
+
 
 def merged_tree(reference: DataFrame, loaded: DataFrame, key: str, value: str, missing: str) -> DataFrame:
     """The reference's keys with the loaded value where there is one, else the reference's own if the key matches ``missing``.
@@ -32,7 +34,7 @@ def until_failure(steps: DataFrame, reads: DataFrame, keys: Sequence[str], step:
 
 def frame_times(df: DataFrame, keys: Sequence[str], order: Sequence[str], fps: Column, given: str | None = None) -> DataFrame:
     """Frames numbered by arrival, with the time given or ``frame_index / fps``."""
-    rows = df.withColumn("frame_index", (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
+    rows = numbered_by(df, keys, order, "frame_index")
     regular = F.col("frame_index") / fps
     return rows.withColumn("timestamp", F.coalesce(F.col(given), regular) if given else regular)
 

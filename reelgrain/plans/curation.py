@@ -133,10 +133,7 @@ def kb_tiered_topk(spark: SparkSession, root: str) -> DataFrame:
     grasps = _grasps(spark, root)
     entries = grasps.groupBy(F.col("grasp_type").alias("name")).agg(*(F.min(c).alias(f"e_{c}") for c in _FEATURES)).withColumn("pos", F.col("name"))
     queries = grasps.groupBy(*_FEATURES).agg(F.count("*").alias("n")).withColumn("query", F.concat_ws("|", *_FEATURES))
-    same = {c: F.coalesce(F.col(c) == F.col(f"e_{c}"), F.lit(False)) for c in _FEATURES}
-    tiers = [same["grasp_category"] & same["opposition_type"] & same["thumb_position"], same["grasp_category"] & same["opposition_type"], same["grasp_category"]]
-    score = sum((s.cast("bigint") for s in same.values()), F.lit(0).cast("bigint"))
-    rows = retrieval.tiered_top(queries, entries, tiers, score, "query", "name", "pos", 3)
+    rows = retrieval.tiered_top(queries, entries, [(c, f"e_{c}") for c in _FEATURES], [[0, 1, 2], [0, 1], [0]], "query", "name", "pos", 3)
     return rows.select("query", "name", F.col("tier").cast("bigint").alias("tier"), "score", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -366,7 +363,7 @@ ORACLE = {
         r AS (SELECT query, name, CASE WHEN sc AND so AND st THEN 0 WHEN sc AND so THEN 1 WHEN sc THEN 2 ELSE 3 END AS tier, sc::BIGINT + so::BIGINT + st::BIGINT + sv::BIGINT AS score FROM p),
         b AS (SELECT *, min(tier) OVER (PARTITION BY query) AS best FROM r),
         n AS (SELECT query, name, tier::BIGINT AS tier, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, name) AS rank FROM b WHERE tier <= best) SELECT * FROM n WHERE rank <= 3""",
-    "confuser_selfjoin": "SELECT a.source, b.source AS other FROM rigs a JOIN rigs b ON a.source <> b.source AND a.robot_type = b.robot_type AND len(a.state_low) = len(b.state_low)",
+    "confuser_selfjoin": "SELECT source, min(source) OVER w AS \"like\", count(*) OVER w - 1 AS others FROM (SELECT DISTINCT source, robot_type, len(state_low) AS n FROM rigs) WINDOW w AS (PARTITION BY robot_type, n)",
     "causal_mask_counts": f"""WITH {_SIGNAL}, t AS (SELECT user_id, frame, value < 90 AS valid, sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY frame) AS c FROM signal)
         SELECT q.user_id, q.frame, count(*) FILTER (WHERE q.valid AND k.valid AND k.c <= q.c) AS attended FROM t q JOIN t k USING (user_id) GROUP BY q.user_id, q.frame""",
     "block_mask_counts": "WITH p AS (SELECT p_partkey, p_size, unnest(range(p_size)) AS q FROM part WHERE p_size > 0), k AS (SELECT *, unnest(range(p_size)) AS k FROM p) SELECT p_partkey, count(*) FILTER (WHERE q // 3 >= k // 2) AS pairs FROM k GROUP BY 1",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgrain.operators import chunks as C
@@ -18,8 +18,7 @@ def _frames(spark: SparkSession, root: str) -> DataFrame:
 
 def _signal(spark: SparkSession, root: str) -> DataFrame:
     """Events as frames of their user's recording."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, root, "events").select("event_id", "user_id", "value", (F.row_number().over(w) - 1).cast("bigint").alias("frame"))
+    return C.numbered_by(table(spark, root, "events").select("event_id", "user_id", "value", "ts"), ["user_id"], ["ts", "event_id"], "frame").drop("ts")
 
 
 def _episodes(spark: SparkSession, root: str) -> DataFrame:
@@ -47,13 +46,14 @@ def chunk_is_pad(spark: SparkSession, root: str) -> DataFrame:
 
 def timestamp_sync_check(spark: SparkSession, root: str) -> DataFrame:
     rows = _frames(spark, root).join(table(spark, root, "rigs").select("source", "fps"), "source")
-    bad = C.irregular_steps(rows.select("source", "episode_index", "frame_index", "timestamp", "fps"), ["episode_index"], "frame_index", "timestamp", "fps", 1e-3)
+    bad = C.irregular_steps(rows.select("source", "episode_index", "frame_index", "timestamp", "fps"), ["episode_index"], "frame_index", "timestamp", "fps", 1e-6)
     return bad.groupBy("source").agg(F.count("*").alias("irregular"))
 
 
 def cumulative_value(spark: SparkSession, root: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("frame").rowsBetween(Window.unboundedPreceding, 0)
-    return _signal(spark, root).select("event_id", F.round(F.sum("value").over(w), 4).alias("total"))
+    order = ["ts", "event_id"]
+    rows = C.total_in(C.ranged(table(spark, root, "events").select("event_id", "user_id", "value", "ts"), ["user_id"], order), ["user_id"], order, "value", "before")
+    return rows.select("event_id", F.round(F.col("before") + F.col("value"), 4).alias("total"))
 
 
 def episode_data_index(spark: SparkSession, root: str) -> DataFrame:
@@ -182,7 +182,7 @@ ORACLE = {
     "chunk_is_pad": f"""WITH {_FRAMES}, m AS (SELECT episode_index, frame_index, max(frame_index) OVER (PARTITION BY episode_index) AS top FROM one), d AS (SELECT *, unnest([0, 5, 10])::BIGINT AS delta FROM m)
         SELECT episode_index, delta, count(*) FILTER (WHERE frame_index + delta > top) AS pads, max(least(top, frame_index + delta)) AS furthest FROM d GROUP BY ALL""",
     "timestamp_sync_check": f"""WITH {_FRAMES}, s AS (SELECT source, t::DOUBLE - lag(t::DOUBLE) OVER (PARTITION BY episode_index ORDER BY frame_index) AS step FROM one)
-        SELECT source, count(*) AS irregular FROM s JOIN rigs USING (source) WHERE abs(step - 1.0 / fps) > 1e-3 GROUP BY source""",
+        SELECT source, count(*) AS irregular FROM s JOIN rigs USING (source) WHERE abs(step - 1.0::DOUBLE / fps) > 1e-6 GROUP BY source""",
     "cumulative_value": f"WITH {_SIGNAL} SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY frame), 4) AS total FROM signal",
     "episode_data_index": f'WITH {_EPISODES}, {_INDEX} SELECT episode_index, a AS "from", b AS "to" FROM idx',
     "global_reindex": f"WITH {_FRAMES}, {_EPISODES}, {_INDEX} SELECT index AS was, a + frame_index AS index FROM one JOIN idx USING (episode_index)",
