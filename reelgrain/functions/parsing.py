@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelgrain.functions.scalars import stable_hash
+
 
 def pair(text: Column, names: Sequence[str]) -> Column:
     """The value after the first ``name: value`` or ``name=value`` of any of the names, in lower case; null without one."""
@@ -80,4 +82,4 @@ def block(title: Column, names: Sequence[str], values: Sequence[Column]) -> Colu
 
 def one_of(columns: Sequence[Column], *key: str) -> Column:
     """One of several columns, chosen by a hash of the row's key."""
-    return F.element_at(F.array(*columns), (F.pmod(F.xxhash64(*key), F.lit(len(columns))) + 1).cast("int"))
+    return F.element_at(F.array(*columns), (stable_hash(*(F.col(k) for k in key)) % len(columns) + 1).cast("int"))

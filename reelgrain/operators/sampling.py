@@ -7,11 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelgrain.functions.scalars import stable_hash
 from reelgrain.operators.chunks import numbered
 
 
 def hashed(seed: int, *columns: str) -> Column:
-    return F.xxhash64(F.lit(seed), *columns)
+    return stable_hash(F.lit(seed), *(F.col(c) for c in columns))
 
 
 def shuffled(df: DataFrame, key: Sequence[str], seed: int, out: str = "place") -> DataFrame:

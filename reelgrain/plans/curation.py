@@ -328,6 +328,12 @@ _SESSIONS = """d AS (SELECT DISTINCT base_name, second FROM sequential_seconds),
 _HANDS = "e AS (SELECT unnest(map_keys(analysis.hands)) AS hand, unnest(map_values(analysis.hands)) AS h FROM sequential_seconds WHERE analysis IS NOT NULL)"
 _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
+
+def _hash(parts: str) -> str:
+    """The stable hash of a list of values."""
+    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT"
+
+
 ORACLE = {
     "segment_sessions": f'WITH {_SESSIONS} SELECT base_name, a AS start, b AS "end", n FROM ses',
     "segment_split_long": f"""WITH {_SESSIONS} SELECT base_name, a AS start, b AS "end" FROM ses WHERE b - a <= 10
@@ -372,6 +378,8 @@ ORACLE = {
     "batch_cycle": """WITH n AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS n, count(*) OVER () // 16 AS f FROM supplier), b AS (SELECT s_suppkey, n // 16 AS b, n % 16 AS slot, f FROM n WHERE n // 16 < f)
         SELECT s_suppkey, unnest(range(b, 40, f)) AS batch, slot FROM b""",
     "weighted_mix": "SELECT * FROM (VALUES ('click', 4500::BIGINT), ('error', 2700), ('purchase', 1800)) t(event_type, rows)",
+    "shuffle_hash": f"SELECT event_id, row_number() OVER (ORDER BY {_hash('11, event_id')}, event_id) - 1 AS place FROM events",
+    "random_subset": f"SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY {_hash('5, l_orderkey, l_linenumber, l_partkey')}, l_orderkey, l_linenumber, l_partkey LIMIT 1000",
     "checkpoint_retention": "SELECT o_orderkey AS step FROM orders WHERE o_orderkey % 1000 = 0 OR o_orderkey = (SELECT max(o_orderkey) FROM orders)",
     "latency_profile": "SELECT event_type, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, " + ", ".join(f"round(quantile_cont(value, {q}), 6) AS p{round(q * 100):02d}" for q in (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) + " FROM events GROUP BY event_type",
     "success_rate": "SELECT user_id, count(*) AS episodes, round(avg((event_type <> 'error')::INT), 6) AS rate FROM events GROUP BY user_id",

@@ -167,5 +167,6 @@ ORACLE = {
     "clipped_actions": "SELECT vec_id, list_transform(embedding[1:8], lambda x, i: round(CASE WHEN i = 8 THEN CASE WHEN x::DOUBLE * 5 > 0.5 THEN 1.0 ELSE 0.0 END ELSE greatest(-1.0, least(1.0, x::DOUBLE * 5)) END, 6)) AS action FROM embeddings",
     "image_scaling": "SELECT p_partkey, round((p_size % 256) / 255.0::DOUBLE * 2 - 1, 6) AS scaled, (p_size % 256)::BIGINT AS back FROM part",
     "best_reward": "SELECT user_id, max(value) AS best FROM events GROUP BY user_id",
+    "hash_choice": "SELECT o_orderkey, [o_orderpriority, o_orderstatus, 'do it'][('0x' || substr(md5(o_orderkey::VARCHAR), 1, 15))::BIGINT % 3 + 1] AS instruction FROM orders",
     "frames_per_source": f"WITH {_FRAMES} SELECT source, count(DISTINCT episode_index) AS episodes, count(*) AS frames, count(DISTINCT task_index) AS tasks, greatest(ceil(count(DISTINCT episode_index) / 1000.0), 1)::BIGINT AS chunks FROM one GROUP BY source",
 }
