@@ -11,8 +11,8 @@ from reelgrain.llm.abuse import abuse_scores, source_rates
 from reelgrain.llm.event_runs import event_runs
 from reelgrain.llm.frequency import marked_terms
 from reelgrain.llm.leakage import leaked_items, without_leaks
-from reelgrain.llm.packing import fill_report, packed
-from reelgrain.llm.percentiles import all_percentiles
+from reelgrain.llm.packing import fill_report, kept_promises, packed
+from reelgrain.llm.percentiles import all_percentiles, within_bound
 from reelgrain.llm.residue import residue, without_residue
 from reelgrain.sources.tables import table
 
@@ -60,6 +60,12 @@ def p6_percentiles(spark: SparkSession, root: str) -> DataFrame:
     return all_percentiles(table(spark, root, "frames"), table(spark, root, "episodes"), table(spark, root, "rigs"))
 
 
+def p6_within(spark: SparkSession, root: str) -> DataFrame:
+    """Whether the percentiles of every channel keep the stated bound."""
+    frames = table(spark, root, "frames")
+    return within_bound(frames, all_percentiles(frames, table(spark, root, "episodes"), table(spark, root, "rigs")))
+
+
 def p7_containers(spark: SparkSession, root: str) -> DataFrame:
     return packed(table(spark, root, "documents"), table(spark, root, "pack_targets"))
 
@@ -69,6 +75,12 @@ def p7_fill(spark: SparkSession, root: str) -> DataFrame:
     return fill_report(packed(table(spark, root, "documents"), table(spark, root, "pack_targets")))
 
 
+def p7_promises(spark: SparkSession, root: str) -> DataFrame:
+    """What must hold of the containers of each target."""
+    documents = table(spark, root, "documents")
+    return kept_promises(documents, packed(documents, table(spark, root, "pack_targets")))
+
+
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
     return leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
 
@@ -101,7 +113,7 @@ def p9_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p7_containers, p7_fill, p8_found, p8_items, p8_cleaned, p9_found, p9_scores, p9_rates)
+    found = (p1_found, p1_kept, p2_found, p2_terms, p2_runs, p3_found, p3_events, p6_percentiles, p6_within, p7_containers, p7_fill, p7_promises, p8_found, p8_items, p8_cleaned, p9_found, p9_scores, p9_rates)
     return {f.__name__: f for f in found}
 
 
@@ -124,6 +136,12 @@ _MARKED = f"""WITH {_CELLS},
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p6_within": """WITH one AS (SELECT index, any_value(source) AS source, any_value("observation.state") AS s, any_value(action) AS a FROM frames WHERE index IS NOT NULL GROUP BY index),
+  two AS (SELECT source, 'observation.state' AS field_name, s AS v FROM one UNION ALL SELECT source, 'action', a FROM one),
+  flat AS (SELECT source, field_name, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS dim FROM two)
+  SELECT source, field_name, dim, count(*) AS n, true AS kept FROM flat WHERE isfinite(x) GROUP BY ALL""",
+        "p7_promises": """SELECT target_name, max(capacity_tokens) AS capacity, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0::BIGINT AS missing, 0::BIGINT AS overfull, 0::BIGINT AS split, true AS near_fewest
+  FROM pack_targets WHERE target_name IS NOT NULL AND capacity_tokens > 0 GROUP BY target_name""",
         "p2_found": f"{_MARKED} SELECT field_name, term, mark FROM marked WHERE mark IS NOT NULL",
         "p2_terms": f"{_MARKED} SELECT field_name, term, occurrences, records, mark FROM marked",
         "p2_runs": f"""WITH {_CELLS},

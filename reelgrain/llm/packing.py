@@ -238,3 +238,21 @@ def fill_report(pieces: DataFrame) -> DataFrame:
     mixed = beside.groupBy("target_name", "window").agg(off.alias("off"), F.first("w").alias("w")).groupBy("target_name").agg((F.sum(F.col("off") * F.col("w")) / F.sum("w")).alias("mix_distance"))
     least = F.ceil(F.col("tokens") / F.col("capacity")).alias("fewest")
     return total.join(mixed, "target_name", "left").select("target_name", "capacity", "containers", "documents", "tokens", least, (F.col("tokens") / (F.col("containers") * F.col("capacity"))).alias("filled"), "mix_distance")
+
+
+def kept_promises(documents: DataFrame, pieces: DataFrame) -> DataFrame:
+    """By target, what must hold of any packing, by counting.
+
+    ``documents``: how many have a place; ``missing``: those without one; ``overfull``: containers beyond
+    the capacity; ``split``: documents in more pieces than their length asks for, or whose pieces don't
+    add up; ``near_fewest``: whether there are at most 2 in 100 containers (and 8) more than the tokens need.
+    """
+    held = pieces.groupBy("target_name", "capacity", "container").agg(F.sum("n_tokens").alias("t"))
+    full = held.groupBy("target_name", "capacity").agg(F.count_if(F.col("t") > F.col("capacity")).alias("overfull"), F.count("*").alias("_c"), F.sum("t").alias("_t"))
+    parts = pieces.groupBy("target_name", "capacity", "doc_id").agg(F.count("*").alias("p"), F.sum("n_tokens").alias("t"), F.max("part").alias("m"))
+    wrong = (F.col("p") != F.greatest(F.lit(1), F.ceil(F.col("t") / F.col("capacity")))) | (F.col("m") + 1 != F.col("p"))
+    by = parts.groupBy("target_name").agg(F.count("*").alias("documents"), F.count_if(wrong).alias("split"))
+    all_ids = documents.select(F.count_distinct("doc_id").alias("_all"))
+    near = F.col("_c") <= F.ceil(F.col("_t") / F.col("capacity")) * 1.02 + 8
+    rows = full.join(by, "target_name").withColumn("_one", F.lit(1)).join(F.broadcast(all_ids.withColumn("_one", F.lit(1))), "_one")
+    return rows.select("target_name", "capacity", "documents", (F.col("_all") - F.col("documents")).alias("missing"), "overfull", "split", near.alias("near_fewest"))

@@ -399,3 +399,24 @@ def all_percentiles(frames: DataFrame, episodes: DataFrame, rigs: DataFrame) ->
     source = answers(by_source, ["source"]).withColumnRenamed("source", "name").withColumn("scope", F.lit("source"))
     kind = answers(by_type, ["robot_type"]).withColumnRenamed("robot_type", "name").withColumn("scope", F.lit("robot_type"))
     return day.unionByName(source, allowMissingColumns=True).unionByName(kind, allowMissingColumns=True)
+
+
+def within_bound(frames: DataFrame, found: DataFrame) -> DataFrame:
+    """Per source, field and channel the readings and whether all percentiles keep the stated bound, by counting.
+
+    ``found`` is the result of :func:`all_percentiles`. A percentile keeps it if the wanted rank, moved by
+    at most ``rank_error`` times min(q, 1 - q) * n, lies among the ranks of readings equal to it.
+    """
+    told = found.filter("scope = 'source'").select(F.col("name").alias("_s"), F.col("field_name").alias("_f"), F.col("dim").alias("_d"), "n", "rank_error", *_NAMES[1:])
+    rows = frames.filter("index is not null").select("index", "source", "`observation.state`", "action").dropDuplicates(["index"])
+    each = rows.select("source", F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f"`{f}`").alias("v")) for f in FIELDS))).alias("f"))
+    each = each.select("source", "f.field_name", F.posexplode("f.v").alias("dim", "x")).filter("abs(x) < float('Infinity')")
+    beside = each.join(F.broadcast(told), F.col("source").eqNullSafe(F.col("_s")) & (F.col("field_name") == F.col("_f")) & (F.col("dim") == F.col("_d")))
+    x = F.col("x").cast("double")
+    counts = [c for name in _NAMES[1:] for c in (F.count_if(x < F.col(name)).alias(f"_b{name}"), F.count_if(x == F.col(name)).alias(f"_e{name}"))]
+    sums = beside.groupBy("source", "field_name", "dim", "n", "rank_error").agg(F.count("*").alias("counted"), *counts)
+    kept = F.col("n") == F.col("counted")
+    for q, name in zip(PERCENTILES, _NAMES[1:]):
+        rank, slack = F.ceil(F.lit(q) * F.col("n") - 1e-9), F.col("rank_error") * min(q, 1 - q) * F.col("n")
+        kept = kept & (F.col(f"_e{name}") > 0) & (F.col(f"_b{name}") + 1 - slack <= rank) & (F.col(f"_b{name}") + F.col(f"_e{name}") + slack >= rank)
+    return sums.select("source", "field_name", F.col("dim").cast("bigint").alias("dim"), "n", kept.alias("kept"))
