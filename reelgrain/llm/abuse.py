@@ -17,7 +17,8 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -139,14 +140,14 @@ class Terms:
             for word in listed.split():
                 self.classes.setdefault(word, []).append(self.place(f"class {name}"))
         self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], tuple[int, ...]] = {}
+        self.pairs: dict[tuple[str, str], int] = {}
         self.cuts: dict[str, tuple[str, ...]] = {}
 
     @staticmethod
     def place(term: str) -> int:
         return 1 + zlib.crc32(term.encode("utf-8", "ignore")) % (SPACE - 1)
 
-    def _kept(self, known: dict, key: object, places: tuple) -> tuple:
+    def _kept(self, known: dict, key: object, places: object) -> object:
         if len(known) > 1_000_000:
             known.clear()
         known[key] = places
@@ -157,23 +158,20 @@ class Terms:
         bare = token.lstrip(MARK) if token[0] == MARK else token
         return self._kept(self.words, token, (*((self.place("class disguised"),) if token[0] == MARK else ()), *self.classes.get(bare, ()), self.place(bare)))
 
-    def _pair(self, before: str, token: str) -> tuple[int, ...]:
+    def _pair(self, before: str, token: str) -> int:
         bare = [t[1:] if t[0] == MARK else t for t in (before, token)]
-        return self._kept(self.pairs, (before, token), (self.place(f"{bare[0]} {bare[1]}"),))
+        return self._kept(self.pairs, (before, token), self.place(f"{bare[0]} {bare[1]}"))
 
-    def _rows(self, tokens: list[str]) -> list[list[int]]:
+    def _rows(self, tokens: list[str]) -> list[set[int]]:
         words, pairs = self.words, self.pairs
         each = [words.get(t) or self._word(t) for t in tokens]
-        beside = [pairs.get(p) or self._pair(*p) for p in zip(tokens, tokens[1:])]
+        beside = [pairs.get(p) or self._pair(*p) for p in zip(["^", *tokens], tokens)]
+        if len(tokens) <= LONGEST:
+            return [{*chain.from_iterable(each), *beside}]
         out = []
-        for i in range(0, max(1, len(tokens) - LONGEST + STRIDE) if len(tokens) > LONGEST else 1, STRIDE):
-            found = dict.fromkeys(pairs.get(("^", tokens[i])) or self._pair("^", tokens[i]))
-            for places in each[i : i + LONGEST]:
-                for place in places:
-                    found[place] = None
-            for places in beside[i : i + LONGEST - 1]:
-                found[places[0]] = None
-            out.append(list(found))
+        for i in range(0, len(tokens) - LONGEST + STRIDE, STRIDE):
+            first = pairs.get(("^", tokens[i])) or self._pair("^", tokens[i])
+            out.append({*chain.from_iterable(each[i : i + LONGEST]), *beside[i + 1 : i + LONGEST], first})
         return out
 
     def _cut(self, token: str) -> tuple[str, ...]:
@@ -186,7 +184,7 @@ class Terms:
             out = (token,) if token.strip("'" + MARK) else ()
         return self._kept(self.cuts, token, out)
 
-    def passages(self, text: str | None) -> list[list[int]]:
+    def passages(self, text: str | None) -> list[set[int]]:
         rows, cuts = [], self.cuts
         for sentence in _BREAK.split(undisguised(text or "").lower()):
             tokens: list[str] = []
@@ -198,10 +196,11 @@ class Terms:
         return rows
 
 
-def matrix(rows: list[list[int]]) -> np.ndarray:
+def matrix(rows: Sequence[Collection[int]]) -> np.ndarray:
+    """The rows' terms, filled up with 0."""
     out = np.zeros((len(rows), TERMS), np.int32)
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r
+    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+    out[np.arange(TERMS) < lengths[:, None]] = np.fromiter(chain.from_iterable(rows), np.int32, int(lengths.sum()))
     return out
 
 
@@ -331,7 +330,7 @@ def fit_reviews(documents: DataFrame, labels: DataFrame) -> FactorizationMachine
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
         for batch in batches:
-            out = [(d, h, r) for d, h, t in zip(batch["doc_id"], batch["harmful"], batch["text"]) for r in {tuple(r): r for r in terms.passages(t)}.values()]
+            out = [(d, h, r) for d, h, t in zip(batch["doc_id"], batch["harmful"], batch["text"]) for r in {tuple(sorted(r)) for r in terms.passages(t)}]
             frame = pd.DataFrame({"doc_id": [o[0] for o in out], "harmful": [o[1] for o in out], "terms": [np.array(o[2], np.int32).tobytes() for o in out]})
             yield frame
 
@@ -364,7 +363,7 @@ def abuse_scores(documents: DataFrame, labels: DataFrame | None = None, *, machi
         own.bias, own.weight, own.factor = shared.value
         for batch in batches:
             worst, counts = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
-            rows: list[list[int]] = []
+            rows: list[set[int]] = []
             owner: list[int] = []
 
             def settle() -> None:
