@@ -16,6 +16,38 @@ def pair(text: Column, names: Sequence[str]) -> Column:
     return F.nullif(F.trim(found), F.lit(""))
 
 
+#: What a grasp query says of each attribute: the words before it, and how its value looks.
+QUERY_FIELDS = {
+    "opposition": r"opposition\s*:\s*(palm|pad|side)",
+    "thumb": r"thumb\s*position\s*:\s*(abd|add)",
+    "fingers": r"(?:virtual fingers|vf2)\s*[:\-]\s*(?:vf2\s*[:\-]\s*)?(?:1\s*vs\s*)?([0-9\-]+)",
+    "shape": r"object shape\s*:\s*([a-z0-9\-\s/]+)",
+    "region": r"contact region\s*:\s*([a-z0-9\-\s/]+)",
+}
+
+
+def query_field(text: Column, name: str) -> Column:
+    """One attribute of a free-text query, in lower case; empty where it isn't told."""
+    return F.trim(F.regexp_replace(F.regexp_extract(F.lower(text), QUERY_FIELDS[name], 1), r"^\s+|\s+$", ""))
+
+
+def agrees(wanted: Column, has: Column) -> Column:
+    """Whether an attribute is as wanted; an empty or unknown wish agrees with all."""
+    return F.coalesce(wanted, F.lit("")).isin("", "unknown") | F.coalesce(F.lower(has) == F.lower(wanted), F.lit(False))
+
+
+def overlaps(wanted: Column, has: Column) -> Column:
+    """Whether some entry of a list parted by commas or slashes contains a wanted one or is contained in it; empty, unknown and error agree with all."""
+    parts = lambda c: F.transform(F.split(F.lower(F.coalesce(c, F.lit(""))), "[,/]"), F.trim)
+    some = F.exists(parts(wanted), lambda q: F.exists(parts(has), lambda h: F.contains(h, q) | F.contains(q, h)))
+    return F.coalesce(wanted, F.lit("")).isin("", "unknown", "error") | some
+
+
+def mentions(text: Column, attributes: Sequence[Column]) -> Column:
+    """How many of the attributes that are not empty a text contains, in any case."""
+    return sum((F.coalesce((a != "") & F.contains(F.lower(text), F.lower(a)), F.lit(False)).cast("bigint") for a in attributes), F.lit(0).cast("bigint"))
+
+
 def json_or_pair(text: Column, name: str, missing: str = "Unknown") -> Column:
     """A field of the object in a text, else of its ``name: value`` line, else ``missing``."""
     inner = F.get_json_object(F.regexp_extract(text, r"(?s)\{.*\}", 0), f"$.{name}")
@@ -26,9 +58,9 @@ def json_or_pair(text: Column, name: str, missing: str = "Unknown") -> Column:
 def plain_label(text: Column) -> Column:
     """A label without emphasis marks, with one kind of dash and single spaces; of several lines the one that calls itself final.
 
-    Underscores are emphasis where they stand round words, not inside of one.
+    Underscores are emphasis at the edges of words, not inside of one.
     """
-    clean = F.regexp_replace(F.regexp_replace(text, r"[*`]", ""), r"(^|\W)_+([^\s_](?:[^_]*[^\s_])?)_+($|\W)", "$1$2$3")
+    clean = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"[*`]", ""), r"(^|\W)_+", "$1"), r"_+($|\W)", "$1")
     clean = F.regexp_replace(clean, "[‐‑‒–—]", "-")
     final = F.regexp_extract(clean, r"(?im)^.*final[^:\n]*:\s*(.+)$", 1)
     return F.trim(F.regexp_replace(F.when(final != "", final).otherwise(clean), r"\s+", " "))

@@ -99,6 +99,26 @@ def warmup_cosine(step: Column, warmup: int, total: int, peak: float, end: float
     return F.when(step < warmup, peak * (step + 1) / F.lit(float(warmup + 1))).otherwise(end + (peak - end) * 0.5 * (1 + F.cos(math.pi * progress)))
 
 
+def warmup_inverse_root(step: Column, warmup: int, peak: float, timescale: float) -> Column:
+    """Linear warm-up, then decay with the inverse root of the steps since."""
+    return F.when(step < warmup, peak * (step + 1) / F.lit(float(warmup + 1))).otherwise(peak / F.sqrt((timescale + (step - warmup)) / F.lit(timescale)))
+
+
+def action_token(token: Column, vocabulary: int, kept: int = 128) -> Column:
+    """An action token as one of the last of a vocabulary, before the ``kept`` special ones; the same turns it back."""
+    return (F.lit(vocabulary - 1 - kept) - token).cast("bigint")
+
+
+def byte_to_unit(x: Column) -> Column:
+    """A byte's value in [-1, 1]."""
+    return x / 255 * 2 - 1
+
+
+def unit_to_byte(x: Column) -> Column:
+    """A value in [-1, 1] as a byte's value."""
+    return F.round((x + 1) / 2 * 255).cast("bigint")
+
+
 def data_url(image: Column, kind: str = "png") -> Column:
     return F.concat(F.lit(f"data:image/{kind};base64,"), F.base64(image))
 
@@ -108,5 +128,11 @@ def episode_number(name: Column) -> Column:
     return F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(name, r"(\d+)", 1), F.lit("")), F.lit("999999999999")).cast("bigint"), F.lit(-1).cast("bigint"))
 
 
+def task_of_file(path: Column) -> Column:
+    """The task that a recording's file is named after: no folder, extension or closing ``demo``, underscores as spaces."""
+    name = F.regexp_replace(F.regexp_replace(path, r"^.*[/\\\\]", ""), r"\.[^.]*$", "")
+    return F.trim(F.replace(F.regexp_replace(name, r"_demo$", ""), F.lit("_"), F.lit(" ")))
+
+
 def episode_path(episode: Column, chunk_size: int = 1000) -> Column:
     return F.format_string("data/chunk-%03d/episode_%06d.parquet", F.floor(episode / chunk_size).cast("bigint"), episode.cast("bigint"))

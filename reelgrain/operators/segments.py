@@ -86,11 +86,13 @@ def outstanding(tasks: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataF
 def key_ranges(lines: DataFrame, text: str = "value") -> DataFrame:
     """Lines like ``a-b,c:info`` as one row per number: ``line``, ``number``, ``info``.
 
-    Blank lines and those that start with ``#`` are skipped; a reversed range is turned round.
+    Numbers may be bare or named, as in ``episode_000010-episode_000020``. Blank lines, those that
+    start with ``#`` and those without a colon are skipped; a reversed range is turned round.
     """
-    rows = lines.filter(~F.trim(text).rlike("^(#|$)")).withColumn("_keys", F.trim(F.split_part(text, F.lit(":"), F.lit(1)))).withColumn("info", F.trim(F.regexp_replace(text, "^[^:]*:", "")))
-    part = rows.select("line", "info", F.explode(F.split("_keys", ",")).alias("_k")).withColumn("_k", F.trim("_k")).filter(F.col("_k").rlike(r"^\d+(\s*-\s*\d+)?$"))
-    a, b = F.regexp_extract("_k", r"^(\d+)", 1).cast("bigint"), F.regexp_extract("_k", r"(\d+)$", 1).cast("bigint")
+    rows = lines.filter(~F.trim(text).rlike("^(#|$)") & F.contains(F.col(text), F.lit(":"))).withColumn("_keys", F.trim(F.split_part(text, F.lit(":"), F.lit(1)))).withColumn("info", F.trim(F.regexp_replace(text, "^[^:]*:", "")))
+    one = r"(?:episode_)?(\d+)"
+    part = rows.select("line", "info", F.explode(F.split("_keys", ",")).alias("_k")).withColumn("_k", F.trim("_k")).filter(F.col("_k").rlike(rf"^{one}(?:\s*-\s*{one})?$"))
+    a, b = F.regexp_extract("_k", rf"^{one}", 1).cast("bigint"), F.regexp_extract("_k", rf"{one}$", 1).cast("bigint")
     return part.select("line", "info", F.explode(F.sequence(F.least(a, b), F.greatest(a, b))).alias("number"))
 
 
@@ -102,3 +104,19 @@ def range_info(ranges: DataFrame) -> DataFrame:
 def progress(done: DataFrame, target: str = "target", n: str = "n") -> DataFrame:
     """How many tasks are complete, and how many have begun."""
     return done.agg(F.count_if((F.col(n) == F.col(target)) & (F.col(target) > 0)).alias("complete"), F.count_if(F.col(n) > 0).alias("begun"), F.sum(n).cast("bigint").alias("pieces"))
+
+
+def with_frames(chunks: DataFrame, frames: str, least: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Chunks of at least so many frames, and an error row for each of the others."""
+    enough = F.coalesce(F.size(frames), F.lit(0)) >= least
+    return chunks.filter(enough), chunks.filter(~enough).withColumn("error", F.format_string("%d of at least %d frames", F.coalesce(F.size(frames), F.lit(0)), F.lit(least)))
+
+
+def moving(steps: DataFrame, enabled: str) -> DataFrame:
+    """Steps whose movement isn't disabled; where nothing is told it is enabled."""
+    return steps.filter(F.coalesce(F.col(enabled), F.lit(True)))
+
+
+def cameras_of(cameras: Column, wrist: bool) -> Column:
+    """The cameras on the wrist (type 0), or those elsewhere, of an array of structs with ``type``."""
+    return F.filter(cameras, lambda c: (c["type"] == 0) if wrist else (c["type"] != 0))

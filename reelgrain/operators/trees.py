@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import difflib
+import random
 import re
+import time
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -110,22 +112,41 @@ def composed(*rules: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame],
     return run
 
 
-def asked(df: DataFrame, text: str, model: Callable[[str], str], *, attempts: int = 2, out: str = "answer") -> DataFrame:
-    """Each text answered by a model outside of Spark, in Arrow batches; null after so many failures."""
+def asked(df: DataFrame, text: str, model: Callable[[str], str], *, attempts: int = 2, wait: float = 1.0, out: str = "answer") -> DataFrame:
+    """Each text answered by a model outside of Spark, in Arrow batches; ``<out>_error`` tells why there is none.
 
-    @F.pandas_udf("string")
-    def call(column: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str | None:
-            for _ in range(attempts if t is not None else 0):
+    Between two attempts it waits ``wait`` seconds, doubled each time and moved by up to a half either way.
+    A null text has neither answer nor error. :func:`mock_model` stands in for a model in tests.
+    """
+
+    @F.pandas_udf(f"{out} string, {out}_error string")
+    def call(column: pd.Series) -> pd.DataFrame:
+        def one(t: str | None) -> tuple[str | None, str | None]:
+            told = None
+            for turn in range(attempts if t is not None else 0):
+                if turn:
+                    time.sleep(wait * 2 ** (turn - 1) * random.uniform(0.5, 1.5))
                 try:
-                    return model(t)
-                except Exception:  # noqa: BLE001
-                    continue
-            return None
+                    return model(t), None
+                except Exception as e:  # noqa: BLE001
+                    told = f"{type(e).__name__}: {e}"
+            return None, told
+
+        return pd.DataFrame([one(t) for t in column], columns=[out, f"{out}_error"], dtype=object)
+
+    return df.withColumn("_a", call(text)).select(*df.columns, f"_a.{out}", f"_a.{out}_error")
+
+
+def mock_model(answers: dict[str, str], default: str | None = None) -> Callable[[str], str]:
+    """A model that answers from a table, and fails on texts it doesn't hold unless there is a default."""
 
-        return column.map(one)
+    def answer(text: str) -> str:
+        found = answers.get(text, default)
+        if found is None:
+            raise LookupError(f"no answer to {text!r}")
+        return found
 
-    return df.withColumn(out, call(text))
+    return answer
 
 
 def camera_sources(columns: Sequence[str], camera: str, side: str = "left") -> list[str]:

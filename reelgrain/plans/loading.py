@@ -96,7 +96,7 @@ def divisible_axis(spark: SparkSession, root: str) -> DataFrame:
 
 def vocabulary_remap(spark: SparkSession, root: str) -> DataFrame:
     """Action tokens at the end of a vocabulary, counted from its last ones."""
-    return table(spark, root, "orders").select("o_orderkey", (F.lit(257_152) - 1 - 128 - F.col("o_custkey") % 1024).cast("bigint").alias("token"))
+    return table(spark, root, "orders").select("o_orderkey", X.action_token(F.col("o_custkey") % 1024, 257_152).alias("token"))
 
 
 def token_values(spark: SparkSession, root: str) -> DataFrame:
@@ -115,7 +115,7 @@ def clipped_actions(spark: SparkSession, root: str) -> DataFrame:
 def image_scaling(spark: SparkSession, root: str) -> DataFrame:
     """Bytes to [-1, 1] and back."""
     rows = table(spark, root, "part").select("p_partkey", (F.col("p_size") % 256).alias("b"))
-    return rows.select("p_partkey", F.round(F.col("b") / 255 * 2 - 1, 6).alias("scaled"), F.round(((F.col("b") / 255 * 2 - 1) + 1) / 2 * 255).cast("bigint").alias("back"))
+    return rows.select("p_partkey", F.round(X.byte_to_unit(F.col("b")), 6).alias("scaled"), X.unit_to_byte(X.byte_to_unit(F.col("b"))).alias("back"))
 
 
 def best_reward(spark: SparkSession, root: str) -> DataFrame:
@@ -134,11 +134,25 @@ def hash_choice(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "orders").select("o_orderkey", P.one_of(names, "o_orderkey").alias("instruction"))
 
 
+def grasp_query(spark: SparkSession, root: str) -> DataFrame:
+    """Free-text queries made of analysed hands, read back field by field and held against the hand."""
+    h = table(spark, root, "sequential_seconds").select("base_name", "second", F.explode("analysis.hands").alias("hand", "h")).distinct()
+    said = F.concat(F.lit("Opposition: "), F.coalesce("h.opposition_type", F.lit("none")), F.lit("\nOBJECT SHAPE: "), F.coalesce("h.object_shape", F.lit("unknown")), F.lit("\n"))
+    rows = h.select("base_name", "second", "hand", "h", said.alias("said"))
+    shape = P.query_field(F.col("said"), "shape")
+    fits = P.agrees(P.query_field(F.col("said"), "opposition"), F.col("h.opposition_type")) & P.overlaps(shape, F.col("h.object_shape"))
+    return rows.select("base_name", "second", "hand", P.query_field(F.col("said"), "opposition").alias("opposition"), shape.alias("shape"), fits.alias("fits"), P.mentions(F.col("said"), [F.col("h.opposition_type"), F.col("h.object_shape"), F.col("h.grasp_type")]).alias("score"))
+
+
+def inverse_root_rate(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "orders").select("o_orderkey", F.round(X.warmup_inverse_root(F.col("o_orderkey"), 1000, 1.0, 10_000.0), 8).alias("rate"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         pair_extract, json_or_pairs, label_cleanup, answer_check, prefix_rules, text_blocks, instruction_default, camera_cut, tree_merge, arrival_frames, interpolation, numeric_order, newest_checkpoint, divisible_axis,
-        vocabulary_remap, token_values, clipped_actions, image_scaling, best_reward, frames_per_source, hash_choice,
+        vocabulary_remap, token_values, clipped_actions, image_scaling, best_reward, frames_per_source, hash_choice, grasp_query, inverse_root_rate,
     )
 }
 
@@ -147,7 +161,7 @@ _FRAMES = "one AS (SELECT index, any_value(episode_index) AS episode_index, any_
 ORACLE = {
     "pair_extract": "SELECT event_id, lower(event_type) AS grasp, user_id::VARCHAR AS size, NULL::VARCHAR AS none FROM events",
     "json_or_pairs": "SELECT event_id, CASE event_id % 3 WHEN 0 THEN props::JSON ->> '$.k' WHEN 1 THEN event_type ELSE 'Unknown' END AS k FROM events",
-    "label_cleanup": r"""WITH d AS (SELECT DISTINCT grasp_type FROM grasp_records), c AS (SELECT grasp_type, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(grasp_type, '[*`]', '', 'g'), '(^|\W)_+([^\s_](?:[^_]*[^\s_])?)_+($|\W)', '\1\2\3', 'g'), '[‐‑‒–—]', '-', 'g'), '\s+', ' ', 'g')) AS label FROM d)
+    "label_cleanup": r"""WITH d AS (SELECT DISTINCT grasp_type FROM grasp_records), c AS (SELECT grasp_type, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(grasp_type, '[*`]', '', 'g'), '(^|\W)_+', '\1', 'g'), '_+($|\W)', '\1', 'g'), '[‐‑‒–—]', '-', 'g'), '\s+', ' ', 'g')) AS label FROM d)
         SELECT grasp_type, label, coalesce(nullif(regexp_extract(label, '(?i)\b((?:Power|Precision|Intermediate)\s*:\s*[A-Za-z_ ]+[A-Za-z])', 1), ''), nullif(regexp_extract(label, '(?i)\b(Power|Precision|Intermediate)\b', 1), '')) AS found FROM c""",
     "answer_check": "SELECT p_partkey, p_partkey % 5 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 4 <> 0 AS good FROM part",
     "prefix_rules": "SELECT p_partkey, (CASE WHEN p_brand LIKE 'Brand#1%' THEN 10 WHEN p_brand IN ('Brand#2', 'Brand#3', 'Brand#4') THEN 20 ELSE 30 END)::BIGINT AS days FROM part",
@@ -167,6 +181,13 @@ ORACLE = {
     "clipped_actions": "SELECT vec_id, list_transform(embedding[1:8], lambda x, i: round(CASE WHEN i = 8 THEN CASE WHEN x::DOUBLE * 5 > 0.5 THEN 1.0 ELSE 0.0 END ELSE greatest(-1.0, least(1.0, x::DOUBLE * 5)) END, 6)) AS action FROM embeddings",
     "image_scaling": "SELECT p_partkey, round((p_size % 256) / 255.0::DOUBLE * 2 - 1, 6) AS scaled, (p_size % 256)::BIGINT AS back FROM part",
     "best_reward": "SELECT user_id, max(value) AS best FROM events GROUP BY user_id",
+    "inverse_root_rate": "SELECT o_orderkey, round(CASE WHEN o_orderkey < 1000 THEN (o_orderkey + 1) / 1001.0::DOUBLE ELSE 1 / sqrt((10000 + o_orderkey - 1000) / 10000.0::DOUBLE) END, 8) AS rate FROM orders",
+    "grasp_query": r"""WITH h AS (SELECT DISTINCT base_name, second, unnest(map_keys(analysis.hands)) AS hand, unnest(map_values(analysis.hands)) AS h FROM sequential_seconds WHERE analysis IS NOT NULL),
+        s AS (SELECT *, 'opposition: ' || lower(coalesce(h.opposition_type, 'none')) || chr(10) || 'object shape: ' || lower(coalesce(h.object_shape, 'unknown')) || chr(10) AS said FROM h),
+        p AS (SELECT *, trim(regexp_extract(said, 'opposition\s*:\s*(palm|pad|side)', 1)) AS o, regexp_replace(regexp_extract(said, 'object shape\s*:\s*([a-z0-9\-\s/]+)', 1), '^\s+|\s+$', '', 'g') AS w FROM s)
+        SELECT base_name, second, hand, o AS opposition, w AS shape,
+            (o IN ('', 'unknown') OR coalesce(lower(h.opposition_type) = o, false)) AND (w IN ('', 'unknown', 'error') OR len(list_filter(string_split_regex(w, '[,/]'), lambda q: len(list_filter(string_split_regex(lower(coalesce(h.object_shape, '')), '[,/]'), lambda k: contains(trim(k), trim(q)) OR contains(trim(q), trim(k)))) > 0)) > 0) AS fits,
+            coalesce((h.opposition_type <> '' AND contains(said, lower(h.opposition_type)))::BIGINT, 0) + coalesce((h.object_shape <> '' AND contains(said, lower(h.object_shape)))::BIGINT, 0) + coalesce((h.grasp_type <> '' AND contains(said, lower(h.grasp_type)))::BIGINT, 0) AS score FROM p""",
     "hash_choice": "SELECT o_orderkey, [o_orderpriority, o_orderstatus, 'do it'][('0x' || substr(md5(o_orderkey::VARCHAR), 1, 15))::BIGINT % 3 + 1] AS instruction FROM orders",
     "frames_per_source": f"WITH {_FRAMES} SELECT source, count(DISTINCT episode_index) AS episodes, count(*) AS frames, count(DISTINCT task_index) AS tasks, greatest(ceil(count(DISTINCT episode_index) / 1000.0), 1)::BIGINT AS chunks FROM one GROUP BY source",
 }

@@ -18,6 +18,17 @@ def write_episodes(frames: DataFrame, root: str, *, chunk_size: int = 1000, over
     rows.repartition("chunk", "episode_index").sortWithinPartitions("chunk", "episode_index", "frame_index").write.mode("overwrite" if overwrite else "errorifexists").partitionBy("chunk").parquet(f"{root}/data")
 
 
+def write_episode_files(frames: DataFrame, root: str, *, chunk_size: int = 1000, overwrite: bool = False) -> None:
+    """One file per episode, in a folder of its own under its chunk's: ``root/data/chunk=.../episode=...``."""
+    rows = frames.withColumn("chunk", F.floor(F.col("episode_index") / chunk_size).cast("bigint")).withColumn("episode", F.col("episode_index"))
+    rows.repartition("chunk", "episode").sortWithinPartitions("chunk", "episode", "frame_index").write.mode("overwrite" if overwrite else "errorifexists").partitionBy("chunk", "episode").parquet(f"{root}/data")
+
+
+def append_worker_lines(df: DataFrame, root: str, worker: str) -> None:
+    """Answers and error rows below ``root/worker=...`` of their worker, beside what is there."""
+    df.write.mode("append").partitionBy(worker).json(root)
+
+
 def write_json_lines(df: DataFrame, path: str, *, append: bool = False, overwrite: bool = False) -> None:
     df.write.mode("append" if append else "overwrite" if overwrite else "errorifexists").json(path)
 
